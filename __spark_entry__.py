@@ -16,7 +16,7 @@ from docketframe import fixtures, rules, schema  # noqa: E402
 from docketframe.functions import clean, fields, html, links, text  # noqa: E402
 from docketframe.operators import corpus, pages, records  # noqa: E402
 from docketframe.plans import workflow  # noqa: E402
-from docketframe.session import new_path  # noqa: E402
+from docketframe.session import new_path, spread  # noqa: E402
 from docketframe.sources import sinks, tables  # noqa: E402
 from docketframe.streaming import ingest  # noqa: E402
 
@@ -38,36 +38,37 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents")
 
 
-def on_judgments(**columns: Column) -> Query:
+Rule = Callable[[Column], Column]
+
+
+def on_judgments(**rules_of_body: Rule) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = fixtures.judgments(spark, sf_dir)
-        return df.select("k", *[c.alias(n) for n, c in columns.items()])
+        return df.select("k", *[rule(F.col("body")).alias(n) for n, rule in rules_of_body.items()])
 
     return run
 
 
-def on_documents(**columns: Column) -> Query:
+def on_documents(**rules_of_text: Rule) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return documents(spark, sf_dir).select("doc_id", *[c.alias(n) for n, c in columns.items()])
+        df = spread(documents(spark, sf_dir))
+        return df.select("doc_id", *[rule(F.col("text")).alias(n) for n, rule in rules_of_text.items()])
 
     return run
 
 
-def field_queries() -> dict[str, Query]:
-    body = F.col("body")
-    rule = {
-        "case_no": fields.case_no(body),
-        "court": fields.court(body),
-        "decision_date": fields.decision_date(body),
-        "case_reason": fields.case_reason(),
-        "gender": fields.gender(body),
-        "injury_level": fields.injury_level(body),
-        "compensation": fields.compensation(body),
-        "sentence": fields.sentence(body),
-        "verdict": fields.verdict(body),
-        "trial_procedure": fields.trial_procedure(body),
-    }
-    return {name: on_judgments(**{name: column}) for name, column in rule.items()}
+FIELD_RULES: dict[str, Rule] = {
+    "case_no": fields.case_no,
+    "court": fields.court,
+    "decision_date": fields.decision_date,
+    "case_reason": lambda body: fields.case_reason(),
+    "gender": fields.gender,
+    "injury_level": fields.injury_level,
+    "compensation": fields.compensation,
+    "sentence": fields.sentence,
+    "verdict": fields.verdict,
+    "trial_procedure": fields.trial_procedure,
+}
 
 
 def parse_record(spark, sf_dir):
@@ -134,7 +135,7 @@ def part_counts(spark, sf_dir):
 
 
 def corpus_stats(spark, sf_dir):
-    docs = documents(spark, sf_dir).withColumnRenamed("text", "body")
+    docs = spread(documents(spark, sf_dir)).withColumnRenamed("text", "body")
     return corpus.corpus_stats(corpus.with_clean_body(docs, oracles.DOC_NOISE))
 
 
@@ -197,7 +198,7 @@ def page_store(spark, sf_dir):
 
 
 def stored_pages(spark, sf_dir):
-    return tables.read_pages(spark, f"{sf_dir}/pages.parquet")
+    return spread(tables.read_pages(spark, f"{sf_dir}/pages.parquet"))
 
 
 def page_body_chain(spark, sf_dir):
@@ -376,19 +377,19 @@ def stream_batches(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
-    body = F.col("text")
     return {
-        **field_queries(),
+        **{name: on_judgments(**{name: rule}) for name, rule in FIELD_RULES.items()},
         "parse_record": parse_record,
         "typed_fields": typed_fields,
         "cn_numeral": cn_numeral,
-        "clean_lines": on_documents(body=clean.clean_content(body, oracles.DOC_NOISE)),
-        "clean_judgments": on_judgments(body=clean.clean_content(F.col("body"))),
-        "flatten_body": on_documents(body=clean.flatten_body(body)),
-        "clean_ws": on_documents(body=text.clean_ws(body)),
-        "body_md5": on_documents(body_md5=text.body_md5(body)),
+        "clean_lines": on_documents(body=lambda c: clean.clean_content(c, oracles.DOC_NOISE)),
+        "clean_judgments": on_judgments(body=clean.clean_content),
+        "flatten_body": on_documents(body=clean.flatten_body),
+        "clean_ws": on_documents(body=text.clean_ws),
+        "body_md5": on_documents(body_md5=text.body_md5),
         "first_number": on_documents(
-            number_text=text.find(body, rules.FIRST_NUMBER), number=text.first_number(body, -1)
+            number_text=lambda c: text.find(c, rules.FIRST_NUMBER),
+            number=lambda c: text.first_number(c, -1),
         ),
         "chunk_ids": chunk_ids,
         "chunk_lists": chunk_lists,
@@ -411,7 +412,8 @@ def queries() -> dict[str, Query]:
         "keyword_filter": keyword_filter,
         "keyword_years": keyword_years,
         "short_body_flag": on_documents(
-            is_short=clean.is_short(body).cast("int"), is_blank=clean.is_blank(body).cast("int")
+            is_short=lambda c: clean.is_short(c).cast("int"),
+            is_blank=lambda c: clean.is_blank(c).cast("int"),
         ),
         "collected_counts": lambda spark, sf: corpus.collected(documents(spark, sf)),
         "review_table": lambda spark, sf: records.export_table(reviewed(spark, sf)),

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docketframe.session import spread
+
 NL = "chr(10)"
 K = "o_orderkey"
 DAY = "concat(cast(year(o_orderdate) as string), '{0}', cast(month(o_orderdate) as string), '{1}', cast(day(o_orderdate) as string), '{2}')"
@@ -212,15 +214,18 @@ ITEM_HTML = joined(
 )
 
 
+def read_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(spark.read.parquet(f"{sf_dir}/orders.parquet"))
+
+
 def judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One judgment text per order."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    return orders.select(F.col(K).alias("k"), F.expr(BODY).alias("body"))
+    return read_orders(spark, sf_dir).select(F.col(K).alias("k"), F.expr(BODY).alias("body"))
 
 
 def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One case record per order, with empty fields and bodies among them."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = read_orders(spark, sf_dir)
     return orders.select(*[F.expr(sql_literals(e)).alias(c) for c, e in CASE.items()])
 
 
@@ -236,7 +241,10 @@ def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # A page has PER_PAGE rows at most, so its list is small.
     in_order = F.array_sort(F.collect_list(F.struct("at", "item")))
-    return items.groupBy("page_id", "crawl", "page_no").agg(
+    tasks = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
+    )
+    return items.repartition(tasks, "page_id").groupBy("page_id", "crawl", "page_no").agg(
         F.concat(
             F.lit("<html><body><p>结果</p>"),
             F.array_join(F.transform(in_order, lambda i: i["item"]), "\n"),

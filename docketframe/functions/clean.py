@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docketframe import rules
-from docketframe.functions.text import bind, java_regex, strip
+from docketframe.functions.text import bind, hits, strip
 
 
-def any_pattern(patterns: Sequence[str]) -> str:
-    """One alternation: only whether any pattern hits matters."""
-    return "(?d)" + "|".join(f"(?:{java_regex(p)[4:]})" for p in patterns)
+def is_noise(line: Column, patterns: Sequence[str]) -> Column:
+    return reduce(Column.__or__, [hits(line, p) for p in patterns])
 
 
 def stripped_lines(body: Column) -> Column:
@@ -33,7 +33,7 @@ def clean_content(
 
     def keep(line: Column) -> Column:
         long_enough = F.length(line) > min_line
-        return long_enough & ~line.rlike(any_pattern(noise)) if noise else long_enough
+        return long_enough & ~is_noise(line, noise) if noise else long_enough
 
     def collapse(lines: Column) -> Column:
         return F.filter(lines, lambda x, i: (i == 0) | (x != F.get(lines, i - 1)))

@@ -49,17 +49,19 @@ def court(body: Column, patterns: Sequence[str] = rules.COURTS) -> Column:
 
 def decision_date(body: Column, patterns: Sequence[str] = rules.DATES) -> Column:
     """Last date near the end of the text, as ``YYYY-MM-DD`` text."""
-    tail = F.right(body, F.lit(rules.DATE_WINDOW))
 
-    def last(pattern: str) -> Column:
+    def last(tail: Column, pattern: str) -> Column:
         def iso(hit: Column) -> Column:
             day = [F.lpad(find(hit, pattern, g), 2, "0") for g in (2, 3)]
             return F.concat_ws("-", find(hit, pattern, 1), *day)
 
-        hits = F.slice(find_all(tail, pattern), -1, 1)
-        return F.get(F.transform(hits, iso), F.lit(0))
+        found = F.slice(find_all(tail, pattern), -1, 1)
+        return F.get(F.transform(found, iso), F.lit(0))
 
-    return F.coalesce(*[last(p) for p in patterns], F.lit(""))
+    return bind(
+        F.right(body, F.lit(rules.DATE_WINDOW)),
+        lambda tail: F.coalesce(*[last(tail, p) for p in patterns], F.lit("")),
+    )
 
 
 def case_reason(value: str = rules.CASE_REASON) -> Column:

@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 import sys
 from collections.abc import Iterator, Sequence
+from functools import cache
 from html.parser import HTMLParser
 from itertools import accumulate
 
@@ -55,6 +56,16 @@ SELECTOR = re.compile(
 )
 
 
+@cache
+def parsed_selector(selector: str) -> tuple:
+    m = SELECTOR.fullmatch(selector)
+    if not m:
+        raise ValueError(f"selector not understood: {selector!r}")
+    marks = re.findall(r"[.#][\w-]+", m["marks"])
+    classes, ids = ({x[1:] for x in marks if x[0] == sign} for sign in ".#")
+    return m["tag"], classes, ids, m["attr"], m["part"], m["own"]
+
+
 class Element:
     """A span of the page: positions in the piece list and in the source."""
 
@@ -187,13 +198,7 @@ class Page(HTMLParser):
     def select(self, selector: str, within: Element | None = None) -> Iterator[Element]:
         """Elements matching ``tag``, ``.class``, ``#id``, ``[attr*=part]`` or
         ``:text(part)`` (first own text node), or a combination, in page order."""
-        m = SELECTOR.fullmatch(selector)
-        if not m:
-            raise ValueError(f"selector not understood: {selector!r}")
-        tag, attr, part, own = m["tag"], m["attr"], m["part"], m["own"]
-        marks = re.findall(r"[.#][\w-]+", m["marks"])
-        classes = {x[1:] for x in marks if x[0] == "."}
-        ids = {x[1:] for x in marks if x[0] == "#"}
+        tag, classes, ids, attr, part, own = parsed_selector(selector)
         first, last = 0, len(self.elements)
         if within is not None:
             first, last = within.at + 1, within.last

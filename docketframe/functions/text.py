@@ -64,13 +64,88 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+@cache
+def required_literal(pattern: str) -> str:
+    """The longest literal that every hit of the pattern contains, or ''.
+
+    Looks at the top level and into groups that occur exactly once and have no
+    alternatives; anything optional, repeated or in a class is passed over.
+    """
+    if _alternates(pattern):
+        return ""
+    runs, i = [""], 0
+    while i < len(pattern):
+        token, inner = _token(pattern, i)
+        i += len(token)
+        quantified = pattern[i : i + 1] in tuple("*?{+")
+        optional = quantified and pattern[i] != "+"
+        if inner is not None:
+            runs += [] if quantified else [required_literal(inner)]
+            runs.append("")
+        elif len(token) == 1 and token not in ".^$" and not optional:
+            runs[-1] += token
+        else:
+            runs.append("")
+        if quantified:
+            end = pattern.index("}", i) + 1 if pattern[i] == "{" else i + 1
+            i = end + (pattern[end : end + 1] in ("?", "+"))
+            runs.append("")
+    return max(runs, key=len)
+
+
+def _token(pattern: str, i: int) -> tuple[str, str | None]:
+    """The token at ``i``; for a group also what is inside it."""
+    if pattern[i] == "\\":
+        return pattern[i : i + 2], None
+    if pattern[i] == "[":
+        return pattern[i : pattern.index("]", i + 1) + 1], None
+    if pattern[i] != "(":
+        return pattern[i], None
+    j = i + 1
+    while pattern[j] != ")":
+        j += len(_token(pattern, j)[0])
+    inner = pattern[i + 1 : j]
+    if inner.startswith("?"):
+        # Of the special groups only the plain (?:...) consumes what it holds.
+        inner = inner[2:] if inner.startswith("?:") else ""
+    return pattern[i : j + 1], inner
+
+
+def _alternates(pattern: str) -> bool:
+    i = 0
+    while i < len(pattern):
+        token, _ = _token(pattern, i)
+        if token == "|":
+            return True
+        i += len(token)
+    return False
+
+
+def _guarded(text: Column, pattern: str, hit: Column, otherwise: Column) -> Column:
+    """Run the regex only where the literal it needs occurs: a byte search is
+    far cheaper, and most texts lack most literals."""
+    literal = required_literal(pattern)
+    if not literal:
+        return hit
+    return F.when(F.contains(text, F.lit(literal)), hit).when(text.isNotNull(), otherwise)
+
+
+def hits(text: Column, pattern: str) -> Column:
+    """Whether a rule pattern occurs."""
+    if required_literal(pattern) == pattern:
+        return F.contains(text, F.lit(pattern))
+    return _guarded(text, pattern, text.rlike(java_regex(pattern)), F.lit(False))
+
+
 def find(text: Column, pattern: str, group: int = 0) -> Column:
     """First hit of a rule pattern, ``''`` if there is none."""
-    return F.regexp_extract(text, java_regex(pattern), group)
+    hit = F.regexp_extract(text, java_regex(pattern), group)
+    return _guarded(text, pattern, hit, F.lit(""))
 
 
 def find_all(text: Column, pattern: str, group: int = 0) -> Column:
-    return F.regexp_extract_all(text, F.lit(java_regex(pattern)), F.lit(group))
+    hit = F.regexp_extract_all(text, F.lit(java_regex(pattern)), F.lit(group))
+    return _guarded(text, pattern, hit, F.array().cast("array<string>"))
 
 
 def contains_any(text: Column, words: list[str]) -> Column:
@@ -114,29 +189,34 @@ def first_number(c: Column, default: float = 0.0) -> Column:
     return F.coalesce(hit.try_cast("double"), F.lit(float(default)))
 
 
-def numeral_text(c: Column) -> Column:
+def numeral_text(numeral: Column) -> Column:
     """A Chinese or decimal numeral as a plain decimal string.
 
     Text is the carrier so that digit runs of any length stay exact.  The
     Chinese forms read are one character, 十x and x十y; anything else is 0.
     """
     table = F.create_map(*[F.lit(v) for kv in rules.NUMERALS.items() for v in kv])
+    ten = F.lit("十")
 
     def value(ch: Column, missing: int) -> Column:
         return F.coalesce(F.try_element_at(table, ch), F.lit(missing))
 
-    ten = F.lit("十")
-    han = (
-        F.when(F.length(c) == 1, value(c, 0))
-        .when(F.startswith(c, ten), 10 + value(F.substring(c, 2, 1), 0))
-        .when(
-            F.contains(c, ten),
-            10 * value(F.split_part(c, ten, F.lit(1)), 1) + value(F.split_part(c, ten, F.lit(2)), 0),
+    def read(c: Column) -> Column:
+        tens, ones = (F.split_part(c, ten, F.lit(i)) for i in (1, 2))
+        han = (
+            F.when(F.length(c) == 1, value(c, 0))
+            .when(F.startswith(c, ten), 10 + value(F.substring(c, 2, 1), 0))
+            .when(F.contains(c, ten), 10 * value(tens, 1) + value(ones, 0))
+            .otherwise(0)
         )
-        .otherwise(0)
-    )
-    plain = F.regexp_replace(ascii_digits(c), "^0+(?=[0-9])", "")
-    return F.when(c.rlike(r"^\p{Nd}+\z"), plain).when(c.isNotNull(), han.cast("string"))
+        plain = F.regexp_replace(ascii_digits(c), "^0+(?=[0-9])", "")
+        return (
+            F.when(c == "", "0")
+            .when(c.rlike(r"^\p{Nd}+\z"), plain)
+            .when(c.isNotNull(), han.cast("string"))
+        )
+
+    return bind(numeral, read)
 
 
 def cn_to_num(c: Column) -> Column:
@@ -148,28 +228,37 @@ def fixed2(value: Column) -> Column:
     """A non-negative double as text with two decimals, rounded on its exact
     binary value with ties to even, as C's ``%.2f`` does.
 
-    The fraction times 2**60 is an exact integer for every double that can
-    still round to something other than zero, so integer arithmetic decides.
     Spark's own ``format_string`` rounds the shortest decimal form half up.
+    A value that has at most two decimals in that form needs no rounding.
+    Otherwise integers decide: the fraction times 2**60 is an exact integer
+    for every double that can still round to something other than zero.
     """
     scale = 1 << 60
+    scale_dec = F.lit(scale).cast("decimal(20,0)")
 
-    def exact(v: Column) -> Column:
+    def rounded(v: Column) -> Column:
         whole = F.floor(v)
         scaled = ((v - whole) * F.lit(float(scale))).cast("bigint").cast("decimal(20,0)") * 100
-        cents = F.floor(scaled / F.lit(scale).cast("decimal(20,0)")).cast("bigint")
-        rest = (scaled % F.lit(scale).cast("decimal(20,0)")).cast("bigint")
-        half = F.lit(scale // 2)
-        up = (rest > half) | ((rest == half) & (cents % 2 == 1))
-        cents = cents + F.when(up, 1).otherwise(0)
-        return F.concat(
-            (whole + F.when(cents == 100, 1).otherwise(0)).cast("string"),
-            F.lit("."),
-            F.lpad((cents % 100).cast("string"), 2, "0"),
+        return bind(
+            F.struct(
+                whole.alias("whole"),
+                F.floor(scaled / scale_dec).cast("bigint").alias("cents"),
+                (scaled % scale_dec).cast("bigint").alias("rest"),
+            ),
+            to_text,
         )
 
-    return F.when(value < float(1 << 53), exact(value)).when(
-        value.isNotNull(), F.format_string("%.2f", value)
+    def to_text(part: Column) -> Column:
+        half, odd = F.lit(scale // 2), part["cents"] % 2 == 1
+        up = (part["rest"] > half) | ((part["rest"] == half) & odd)
+        total = part["whole"] * 100 + part["cents"] + F.when(up, 1).otherwise(0)
+        return (total.cast("decimal(20,0)") / 100).cast("decimal(20,2)").cast("string")
+
+    short = value.cast("decimal(20,2)")
+    return (
+        F.when(value >= float(1 << 53), F.format_string("%.2f", value))
+        .when(short.cast("double") == value, short.cast("string"))
+        .when(value.isNotNull(), rounded(value))
     )
 
 

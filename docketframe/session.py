@@ -66,3 +66,13 @@ def staged(df: DataFrame, path: str | None = None) -> DataFrame:
     path = path or new_path(spark, "stage")
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for costly row-wise work on a small scan.
+
+    A few small files come as fewer splits than there are cores.  Such input,
+    and only such, is dealt out round-robin; larger scans are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
