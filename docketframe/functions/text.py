@@ -229,8 +229,8 @@ def fixed2(value: Column) -> Column:
     binary value with ties to even, as C's ``%.2f`` does.
 
     Spark's own ``format_string`` rounds the shortest decimal form half up.
-    A value that has at most two decimals in that form needs no rounding.
-    Otherwise integers decide: the fraction times 2**60 is an exact integer
+    A value below 1e12 that has at most two decimals in that form needs no
+    rounding.  Otherwise integers decide: the fraction times 2**60 is an exact integer
     for every double that can still round to something other than zero.
     """
     scale = 1 << 60
@@ -257,7 +257,7 @@ def fixed2(value: Column) -> Column:
     short = value.cast("decimal(20,2)")
     return (
         F.when(value >= float(1 << 53), F.format_string("%.2f", value))
-        .when(short.cast("double") == value, short.cast("string"))
+        .when((value < 1e12) & (short.cast("double") == value), short.cast("string"))
         .when(value.isNotNull(), rounded(value))
     )
 

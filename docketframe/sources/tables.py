@@ -44,7 +44,8 @@ def ingest_parts(spark: SparkSession, paths: Sequence[str], out: str) -> DataFra
     """Turn CSV parts into one Parquet table, one folder per part in order."""
     for part_no, path in enumerate(paths, 1):
         read_part(spark, path).write.mode("overwrite").parquet(f"{out}/part_no={part_no}")
-    return spark.read.schema(schema.CASE.add("part_no", "int")).parquet(out)
+    columns = [*schema.CASE.fields, T.StructField("part_no", T.IntegerType())]
+    return spark.read.schema(T.StructType(columns)).parquet(out)
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
