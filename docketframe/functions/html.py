@@ -16,8 +16,7 @@ import re
 import sys
 from collections.abc import Iterator, Sequence
 from functools import cache
-from html.parser import HTMLParser
-from itertools import accumulate
+from html import unescape
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -30,7 +29,7 @@ from docketframe import rules
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
-HIDDEN = set("head script style noscript template".split())
+HIDDEN = set("head script style noscript template iframe noembed noframes".split())
 BLOCK = set(
     "address article aside blockquote body center dd details div dl dt fieldset figcaption "
     "figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main nav ol p pre section "
@@ -39,6 +38,7 @@ BLOCK = set(
 CELL = {"td", "th"}
 # Start tag -> (open elements it ends, elements the search stops at).
 ENDS = {
+    "body": ({"head"}, set()),
     "li": ({"li"}, {"ul", "ol"}),
     "dt": ({"dt", "dd"}, {"dl"}),
     "dd": ({"dt", "dd"}, {"dl"}),
@@ -47,8 +47,23 @@ ENDS = {
     "th": (CELL, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
+# A block ends an open paragraph of the block it stands in.
+P = ({"p"}, BLOCK - {"p"})
+PAGE = {"html", "body"}
+# Elements whose content holds no tags.
+RAW = set("script style title textarea noscript xmp iframe noembed noframes".split())
 TEXT, PRE, BREAK, EDGE, GAP = range(5)
 
+# A comment, a declaration, or a tag; quotes may hide a ">" unless unbalanced.
+TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)"
+    r"(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?=>)|[^>]*)>",
+    re.DOTALL,
+)
+ATTRIBUTE = re.compile(
+    r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?"
+)
 SELECTOR = re.compile(
     r"(?P<tag>[a-zA-Z][\w-]*)?(?P<marks>(?:[.#][\w-]+)*)"
     r"(?:\[(?P<attr>[\w-]+)\*=['\"]?(?P<part>[^'\"\]]*)['\"]?\])?"
@@ -69,35 +84,61 @@ def parsed_selector(selector: str) -> tuple:
 class Element:
     """A span of the page: positions in the piece list and in the source."""
 
-    __slots__ = ("tag", "attrs", "at", "piece", "piece_end", "source", "source_end", "last", "own")
+    __slots__ = ("tag", "raw", "at", "piece", "piece_end", "source", "source_end", "last", "own", "_attrs")
 
-    def __init__(self, tag: str, attrs: dict, at: int, piece: int, source: int):
-        self.tag, self.attrs, self.at, self.piece, self.source = tag, attrs, at, piece, source
-        self.own = None
+    def __init__(self, tag: str, raw: str, at: int, piece: int, source: int):
+        self.tag, self.raw, self.at, self.piece, self.source = tag, raw, at, piece, source
+        self.own = self._attrs = None
 
+    @property
+    def attrs(self) -> dict[str, str]:
+        """Attributes, read when first asked for; the first of a name counts."""
+        if self._attrs is None:
+            found = ATTRIBUTE.findall(self.raw)
+            self._attrs = {n.lower(): unescape(x or y or z) for n, x, y, z in reversed(found)}
+        return self._attrs
 
-class Page(HTMLParser):
+
+class Page:
     """One page as flat lists: text pieces, and elements as spans over them."""
 
     def __init__(self, html: str):
-        super().__init__(convert_charrefs=True)
         self.html = html
         self.pieces: list[tuple[int, str]] = []
         self.elements: list[Element] = []
         self.open: list[Element] = []
         self.hidden = self.pre = 0
-        self.line_starts = [0, *accumulate(len(s) for s in html.split("\n"))]
-        self.feed(html)
-        self.close()
+        self._read()
         self._end_from(0, len(html))
         if not any(e.tag == "body" for e in self.elements):
-            body = Element("body", {}, len(self.elements), 0, 0)
+            body = Element("body", "", len(self.elements), 0, 0)
             self._finish(body, len(html))
             self.elements.append(body)
 
-    def _offset(self) -> int:
-        line, column = self.getpos()
-        return self.line_starts[line - 1] + (line - 1) + column
+    def _read(self) -> None:
+        html, at = self.html, 0
+        last = html.rfind(">") + 1  # behind it there is no tag to look for
+        while m := TOKEN.search(html, at, last):
+            start, after = m.span()
+            if start > at:
+                self._text(html[at:start])
+            at = after
+            if not m["tag"]:
+                if m[0].startswith("<!--") and not m[0].endswith("-->"):
+                    at = len(html)
+                continue
+            tag = m["tag"].lower()
+            if m["end"]:
+                self._end(tag, start)
+                continue
+            self._start(tag, m["attrs"], start, after)
+            if tag in RAW:
+                close = re.compile(f"</{tag}(?=[\\s/>])", re.IGNORECASE).search(html, after)
+                at = close.start() if close else len(html)
+                if at > after:
+                    self._text(html[after:at], decode=tag in ("title", "textarea"))
+        if at < len(html):
+            self._text(html[at:])
 
     def _finish(self, e: Element, source_end: int) -> None:
         e.piece_end, e.source_end, e.last = len(self.pieces), source_end, len(self.elements)
@@ -108,66 +149,53 @@ class Page(HTMLParser):
             e = self.open.pop()
             if e.tag in HIDDEN:
                 self.hidden -= 1
-            if e.tag == "pre":
-                self.pre -= 1
-            if e.tag in BLOCK:
+            elif e.tag in BLOCK:
+                self.pre -= e.tag == "pre"
                 self.pieces.append((EDGE, ""))
             self._finish(e, source_end)
 
     def _depth_of(self, tags: set[str], stops: set[str]) -> int | None:
         for depth in range(len(self.open) - 1, -1, -1):
-            if self.open[depth].tag in tags:
+            tag = self.open[depth].tag
+            if tag in tags:
                 return depth
-            if self.open[depth].tag in stops:
+            if tag in stops:
                 return None
         return None
 
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        at = self._offset()
-        if tag == "body":
-            tags, stops = {"head"}, set()
-        elif tag in ENDS:
-            tags, stops = ENDS[tag]
-        elif tag in BLOCK:
-            tags, stops = {"p"}, BLOCK - {"p"}
-        else:
-            tags, stops = set(), BLOCK
-        depth = self._depth_of(tags, stops)
-        if depth is not None:
-            self._end_from(depth, at)
+    def _start(self, tag: str, raw: str, start: int, after: int) -> None:
+        ends, stops = ENDS.get(tag) or (P if tag in BLOCK else (None, None))
+        if ends:
+            depth = self._depth_of(ends, stops)
+            if depth is not None:
+                self._end_from(depth, start)
         if tag in BLOCK:
             self.pieces.append((EDGE, ""))
         elif tag == "br":
             self.pieces.append((BREAK, ""))
         elif tag in CELL:
             self.pieces.append((GAP, ""))
-        e = Element(
-            tag,
-            {k: v or "" for k, v in reversed(attrs)},
-            len(self.elements),
-            len(self.pieces),
-            at + len(self.get_starttag_text() or ""),
-        )
+        e = Element(tag, raw, len(self.elements), len(self.pieces), after)
         self.elements.append(e)
         if tag in VOID:
-            self._finish(e, e.source)
+            self._finish(e, after)
             return
         self.open.append(e)
         self.hidden += tag in HIDDEN
         self.pre += tag == "pre"
 
-    def handle_startendtag(self, tag: str, attrs: list) -> None:
-        self.handle_starttag(tag, attrs)
-
-    def handle_endtag(self, tag: str) -> None:
+    def _end(self, tag: str, start: int) -> None:
         if tag in ("body", "html"):
             return
-        stops = {"html", "body"} if tag in BLOCK or tag in CELL or tag in HIDDEN else BLOCK
+        # An inline end tag does not reach out of the block it stands in.
+        stops = PAGE if tag in BLOCK or tag in CELL or tag in HIDDEN else BLOCK
         depth = self._depth_of({tag}, stops)
         if depth is not None:
-            self._end_from(depth, self._offset())
+            self._end_from(depth, start)
 
-    def handle_data(self, data: str) -> None:
+    def _text(self, data: str, decode: bool = True) -> None:
+        if decode and "&" in data:
+            data = unescape(data)
         if self.open and self.open[-1].own is None:
             self.open[-1].own = data
         if not self.hidden:

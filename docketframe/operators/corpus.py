@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,6 +17,8 @@ from docketframe.session import staged
 # within the task in the lower 33.
 ROW_BITS = 33
 
+RowWise = Callable[[DataFrame], DataFrame]
+
 
 def merge_parts(*parts: DataFrame) -> DataFrame:
     """UNION ALL of any number of parts; ``part_no`` (1…) keeps their order."""
@@ -31,7 +33,7 @@ def number_rows(
     order_by: Sequence[str],
     seq: str = "seq",
     start: int = 0,
-    then=None,
+    then: RowWise = lambda df: df,
     stage_path: str | None = None,
 ) -> DataFrame:
     """Number all rows ``start + 1 …`` without gaps, in the order given.
@@ -42,8 +44,8 @@ def number_rows(
     scan order; that distinct tie-breaker also lets the range boundaries cut
     through a block of equal keys or of copies, however large it is.
 
-    ``then`` (DataFrame -> DataFrame, row-wise) runs after the sort, so the
-    sampling pass of the range partitioning does not pay for it.  The ordered
+    ``then`` (row-wise) runs after the sort, so the sampling pass of the range
+    partitioning does not pay for it; other costly input should be staged.  The ordered
     table is written once, because numbers must not change when a task is run
     again; the count per task reads one column of it.
     """
@@ -56,7 +58,7 @@ def number_rows(
         .drop("_tie", seq)
         .withColumn("_at", F.monotonically_increasing_id())
     )
-    table = staged(then(ordered) if then else ordered, stage_path)
+    table = staged(then(ordered), stage_path)
 
     task = F.shiftright("_at", ROW_BITS)
     # One row per writing task, so no more than there are shuffle partitions.
@@ -96,14 +98,18 @@ def merge_and_clean(
     *parts: DataFrame,
     order_in_part: str = "seq",
     noise: Sequence[str] = rules.NOISE_PATTERNS,
+    then: RowWise = lambda df: df,
     stage_path: str | None = None,
 ) -> DataFrame:
-    """Parts, one after the other, cleaned and numbered 1 … N."""
+    """Parts, one after the other, cleaned and numbered 1 … N.
+
+    ``then`` is further row-wise work to be stored in the same pass.
+    """
     merged = merge_parts(*[p.withColumn("_in_part", F.col(order_in_part)) for p in parts])
     return number_rows(
         merged,
         ["part_no", "_in_part"],
-        then=lambda df: with_clean_body(df, noise),
+        then=lambda df: then(with_clean_body(df, noise)),
         stage_path=stage_path,
     ).drop("_in_part")
 

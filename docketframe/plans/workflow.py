@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from docketframe import rules
 from docketframe.operators import corpus, pages, records
+from docketframe.session import staged
 from docketframe.sources import sinks
 
 
@@ -25,8 +26,9 @@ def collect(
     The rows that pass the cap are known before any body is attached, so the
     wide detail rows meet only those.
     """
-    listed = pages.list_records(list_pages, base=base)
-    numbered = corpus.number_rows(listed, order_by, stage_path=stage_path)
+    # Stored first: the range partitioning reads its input twice.
+    listed = staged(pages.list_records(list_pages, base=base), stage_path)
+    numbered = corpus.number_rows(listed, order_by)
     if target is not None:
         numbered = corpus.numbered_slice(numbered, n=target)
     bodies = pages.page_bodies(pages.one_page_per_url(detail_pages))
@@ -42,9 +44,12 @@ def post_process(
 ) -> DataFrame:
     """Merge, clean and number parts; write all tables; return the counts.
 
-    The cleaned table is written once and every output reads that.
+    Cleaning and parsing are done once, in the pass that stores the ordered
+    table; every output reads its columns from that.  The merged table and the
+    text report hold case number, court and date as they were collected; only
+    the review has them filled from the text.
     """
-    cases = corpus.merge_and_clean(*parts, noise=noise, stage_path=f"{out}/stage")
+    cases = corpus.merge_and_clean(*parts, noise=noise, then=parsed_beside, stage_path=f"{out}/stage")
     sinks.write_cases(cases, f"{out}/cases_csv")
     sinks.write_text_report(cases, f"{out}/cases_text")
     reviewed = review(cases)
@@ -53,9 +58,22 @@ def post_process(
     return corpus.corpus_stats(cases)
 
 
+FILLED = ["case_no", "court", "date"]
+
+
+def parsed_beside(cases: DataFrame) -> DataFrame:
+    """Parsed fields next to the collected ones, which keep their names."""
+    given = cases.withColumnsRenamed({c: f"given_{c}" for c in FILLED})
+    parsed = records.parse_records(given.withColumns({c: F.col(f"given_{c}") for c in FILLED}))
+    return parsed.withColumnsRenamed({c: f"parsed_{c}" for c in FILLED}).withColumnsRenamed(
+        {f"given_{c}": c for c in FILLED}
+    )
+
+
 def review(cases: DataFrame) -> DataFrame:
-    """Clean cases with their parsed fields, under the review column names."""
-    return records.as_review(records.parse_records(cases)).drop("part_no", "raw_chars")
+    """The review table's columns of cases stored with :func:`parsed_beside`."""
+    filled = cases.drop(*FILLED).withColumnsRenamed({f"parsed_{c}": c for c in FILLED})
+    return records.as_review(filled)
 
 
 def verify_written(source: DataFrame, written: DataFrame) -> DataFrame:
