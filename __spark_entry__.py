@@ -16,7 +16,7 @@ from docketframe import fixtures, rules, schema  # noqa: E402
 from docketframe.functions import clean, fields, html, links, text  # noqa: E402
 from docketframe.operators import corpus, pages, records  # noqa: E402
 from docketframe.plans import workflow  # noqa: E402
-from docketframe.session import new_path, spread  # noqa: E402
+from docketframe.session import new_path, spread, staged  # noqa: E402
 from docketframe.sources import sinks, tables  # noqa: E402
 from docketframe.streaming import ingest  # noqa: E402
 
@@ -306,7 +306,7 @@ def detail_success(spark, sf_dir):
 def progress(spark, sf_dir):
     summary = pages.page_summary(fixtures.list_pages(spark, sf_dir)).drop("page_id")
     # Two readers follow, and parsing HTML is the dear part: do it once.
-    return pages.page_progress(summary.checkpoint(), width=50)
+    return pages.page_progress(staged(summary), width=50)
 
 
 def page_advance(spark, sf_dir):
@@ -376,6 +376,30 @@ def stream_batches(spark, sf_dir):
     return spark.read.parquet(out).drop("batch_id")
 
 
+def stream_resume(spark, sf_dir):
+    """Started twice on one checkpoint: the second run finds nothing new."""
+    out, checkpoint = new_path(spark, "resume"), new_path(spark, "resume_checkpoint")
+    for _ in range(2):
+        stream = table_stream(spark, sf_dir, "documents").select("doc_id", "text")
+        query = ingest.append(
+            stream, out, checkpoint,
+            lambda df: df.select("doc_id", clean.flatten_body(F.col("text")).alias("body")),
+        )
+        query.awaitTermination()
+    return spark.read.schema("doc_id bigint, body string").parquet(out)
+
+
+def stream_append_csv(spark, sf_dir):
+    out, checkpoint = new_path(spark, "stream_csv"), new_path(spark, "stream_csv_checkpoint")
+    query = ingest.append(
+        table_stream(spark, sf_dir, "orders"), out, checkpoint,
+        lambda orders: records.export_table(fixtures.as_cases(orders), schema.CASE_COLUMNS),
+        fmt="csv", **sinks.CSV_WRITE_OPTIONS,
+    )
+    query.awaitTermination()
+    return tables.read_part(spark, out)
+
+
 def queries() -> dict[str, Query]:
     return {
         **{name: on_judgments(**{name: rule}) for name, rule in FIELD_RULES.items()},
@@ -447,6 +471,8 @@ def queries() -> dict[str, Query]:
         "post_process_workflow": post_process_workflow,
         "stream_ingest": stream_ingest,
         "stream_batches": stream_batches,
+        "stream_resume": stream_resume,
+        "stream_append_csv": stream_append_csv,
     }
 
 

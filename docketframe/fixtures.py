@@ -225,7 +225,10 @@ def judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One case record per order, with empty fields and bodies among them."""
-    orders = read_orders(spark, sf_dir)
+    return as_cases(read_orders(spark, sf_dir))
+
+
+def as_cases(orders: DataFrame) -> DataFrame:
     return orders.select(*[F.expr(sql_literals(e)).alias(c) for c, e in CASE.items()])
 
 
