@@ -15,7 +15,6 @@ from __future__ import annotations
 import re
 import sys
 from collections.abc import Iterator, Sequence
-from functools import cache
 from html import unescape
 
 import pyarrow as pa
@@ -71,14 +70,18 @@ SELECTOR = re.compile(
 )
 
 
-@cache
+PARSED: dict[str, tuple] = {}
+
+
 def parsed_selector(selector: str) -> tuple:
-    m = SELECTOR.fullmatch(selector)
-    if not m:
-        raise ValueError(f"selector not understood: {selector!r}")
-    marks = re.findall(r"[.#][\w-]+", m["marks"])
-    classes, ids = ({x[1:] for x in marks if x[0] == sign} for sign in ".#")
-    return m["tag"], classes, ids, m["attr"], m["part"], m["own"]
+    if selector not in PARSED:
+        m = SELECTOR.fullmatch(selector)
+        if not m:
+            raise ValueError(f"selector not understood: {selector!r}")
+        marks = re.findall(r"[.#][\w-]+", m["marks"])
+        classes, ids = ({x[1:] for x in marks if x[0] == sign} for sign in ".#")
+        PARSED[selector] = m["tag"], classes, ids, m["attr"], m["part"], m["own"]
+    return PARSED[selector]
 
 
 class Element:

@@ -171,3 +171,28 @@ def test_budget_takes_whole_pages(spark):
 def test_page_summary(spark):
     row = pages.page_summary(page_table(spark, LIST_PAGE)).first()
     assert (row.n, row.first_title) == (3, "甲 案")
+
+
+def test_reader_ships_without_the_package(tmp_path):
+    """Executors get the reader inside the UDF and have no copy of the package."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    (tmp_path / "page").write_bytes(cloudpickle.dumps(html.Page))
+    code = (
+        "from pyspark import cloudpickle; P = cloudpickle.loads(open('page', 'rb').read()); "
+        "p = P('<p class=x>&amp;a'); print(p.text(p.first('p.x')))"
+    )
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True)
+    assert done.stdout == "&a\n"
+
+
+def test_hostile_pages_take_linear_time():
+    import time
+
+    started = time.time()
+    for source in ("<b " * 200_000, "a < b " * 200_000 + ">", '<b "' * 100_001 + ">", "<p>" * 50_000, "<!--" * 100_000):
+        html.Page(source)
+    assert time.time() - started < 20
