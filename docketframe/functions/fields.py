@@ -22,6 +22,7 @@ from docketframe.functions.text import (
     find_all,
     fixed2,
     numeral_text,
+    numeral_texts,
 )
 
 
@@ -111,33 +112,21 @@ def prison_terms(body: Column, patterns: Sequence[str] = rules.PRISON_TERMS) ->
     """Array of readable terms, in the order the patterns find them."""
     clauses = F.concat(*[find_all(body, p, 1) for p in patterns])
 
-    def numeral(clause: Column, pattern: str) -> Column:
-        return numeral_text(find(clause, pattern, 1))
-
     def read(clause: Column) -> Column:
-        probation = blank_to_null(find(clause, rules.PROBATION_YEARS, 1))
-        return F.struct(
-            numeral(clause, rules.TERM_YEARS).alias("years"),
-            numeral(clause, rules.TERM_MONTHS).alias("months"),
-            F.when(probation.isNotNull(), numeral_text(probation)).alias("probation"),
-        )
+        """Years, months and years on probation, NULL where not given."""
+        rule = (rules.TERM_YEARS, rules.TERM_MONTHS, rules.PROBATION_YEARS)
+        return numeral_texts(*[blank_to_null(find(clause, p, 1)) for p in rule])
 
     def part(number: Column, before: str, after: str) -> Column:
-        shown = F.concat(F.lit(before), number, F.lit(after))
-        return F.when(number != "0", shown).otherwise("")
-
-    def show(t: Column) -> Column:
-        probation = F.concat(F.lit("（缓刑"), t["probation"], F.lit("年）"))
-        return F.concat(
-            part(t["years"], "", "年"),
-            part(t["months"], "", "个月"),
-            F.coalesce(probation, F.lit("")),
-        )
-
-    terms = F.filter(
-        F.transform(clauses, read), lambda t: (t["years"] != "0") | (t["months"] != "0")
-    )
-    return F.transform(terms, show)
+        return F.coalesce(F.concat(F.lit(before), number, F.lit(after)), F.lit(""))
+
+    def show(numbers: Column) -> Column:
+        years, months = (F.nullif(numbers[i], F.lit("0")) for i in (0, 1))
+        term = F.concat(part(years, "", "年"), part(months, "", "个月"))
+        return F.when(term != "", F.concat(term, part(numbers[2], "（缓刑", "年）")))
+
+    terms = F.transform(F.transform(clauses, read), show)
+    return F.filter(terms, lambda t: t.isNotNull())
 
 
 def sentence(body: Column, patterns: Sequence[str] = rules.PRISON_TERMS) -> Column:

@@ -189,13 +189,15 @@ def first_number(c: Column, default: float = 0.0) -> Column:
     return F.coalesce(hit.try_cast("double"), F.lit(float(default)))
 
 
-def numeral_text(numeral: Column) -> Column:
-    """A Chinese or decimal numeral as a plain decimal string.
+def numeral_texts(*numerals: Column) -> Column:
+    """Chinese or decimal numerals as an array of plain decimal strings.
 
     Text is the carrier so that digit runs of any length stay exact.  The
     Chinese forms read are one character, 十x and x十y; anything else is 0.
+    NULL stays NULL.
     """
-    table = F.create_map(*[F.lit(v) for kv in rules.NUMERALS.items() for v in kv])
+    entries = ", ".join(f"'{ch}', {n}" for ch, n in rules.NUMERALS.items())
+    table = F.expr(f"map({entries})")
     ten = F.lit("十")
 
     def value(ch: Column, missing: int) -> Column:
@@ -210,13 +212,13 @@ def numeral_text(numeral: Column) -> Column:
             .otherwise(0)
         )
         plain = F.regexp_replace(ascii_digits(c), "^0+(?=[0-9])", "")
-        return (
-            F.when(c == "", "0")
-            .when(c.rlike(r"^\p{Nd}+\z"), plain)
-            .when(c.isNotNull(), han.cast("string"))
-        )
+        return F.when(c.rlike(r"^\p{Nd}+\z"), plain).when(c.isNotNull(), han.cast("string"))
+
+    return F.transform(F.array(*numerals), read)
 
-    return bind(numeral, read)
+
+def numeral_text(numeral: Column) -> Column:
+    return F.get(numeral_texts(numeral), F.lit(0))
 
 
 def cn_to_num(c: Column) -> Column:

@@ -212,7 +212,7 @@ def first_rows(df: DataFrame, order_by: str, n: int = rules.TARGET_COUNT) -> Dat
 def numbered_slice(
     df: DataFrame, skip: int = 0, n: int | None = None, seq: str = "seq"
 ) -> DataFrame:
-    """Skip and cap on a table numbered 1 … N: a pushed-down filter, no sort."""
+    """Skip and cap on a table numbered 1 … N: a filter, no sort."""
     out = df.where(F.col(seq) > skip)
     return out if n is None else out.where(F.col(seq) <= skip + n)
 

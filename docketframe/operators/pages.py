@@ -153,7 +153,8 @@ def page_progress(
     Adds ``prev_first_title``, ``rows_before`` and ``empty_before``.  A crawl
     may hold most of all pages, so it is not one window group: pages are taken
     in blocks of ``width`` page numbers, and what lies before a block comes
-    from a table with one row per block.  Expects one row per page.
+    from a table with one row per block.  Expects one row per page, with crawl
+    and page number set.
     """
     blocked = summary.withColumn("_block", F.floor(F.col(page_no) / width))
     keys = [crawl, "_block"]
@@ -181,12 +182,12 @@ def page_progress(
                 "prev_first_title": F.lag("first_title").over(in_block),
             }
         )
-        .join(base, keys)
+        .join(base, keys, "left")
         .withColumns(
             {
-                "rows_before": F.col("rows_before") + F.col("_rows"),
-                "empty_before": F.col("empty_before") + F.col("_empties"),
-                "prev_first_title": F.coalesce("prev_first_title", "_title"),
+                "rows_before": F.col("rows_before") + F.coalesce("_rows", F.lit(0)),
+                "empty_before": F.col("empty_before") + F.coalesce("_empties", F.lit(0)),
+                "prev_first_title": F.coalesce("prev_first_title", "_title", F.lit("")),
             }
         )
         .drop("_block", "_rows", "_empties", "_title")

@@ -13,6 +13,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Recording the Python line of every Column call doubles the time it takes
+    # to build the larger rule expressions.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # A page may be megabytes; keep an Arrow batch of them within memory.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
 }

@@ -57,12 +57,17 @@ def read_json_records(
     spark: SparkSession, path: str, json_schema: T.StructType | None = None, array_file: bool = True
 ) -> DataFrame | None:
     """Records from JSON: one array per file, or (``array_file=False``) one
-    object per line, which can be split.  None if there is no such file."""
+    object per line, which can be split.
+
+    None if there is no such file, or without a schema if none can be found in
+    it; under a given schema, what cannot be read is NULL.
+    """
     reader = spark.read.option("mode", "PERMISSIVE").option("multiLine", array_file)
     if json_schema is not None:
         reader = reader.schema(json_schema)
     try:
-        return reader.json(path)
+        df = reader.json(path)
+        return None if df.columns == ["_corrupt_record"] else df
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None

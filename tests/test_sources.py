@@ -58,7 +58,8 @@ def test_json(spark, cases, tmp_path):
     assert [r.title for r in rows] == ["甲", "乙"]
     assert tables.read_json_records(spark, str(tmp_path / "none.json")) is None
     (tmp_path / "bad.json").write_text("{[")
-    bad = tables.read_json_records(spark, str(tmp_path / "bad.json"), schema.CASE)
+    assert tables.read_json_records(spark, str(tmp_path / "bad.json")) is None
+    bad = tables.read_json_records(spark, str(tmp_path / "bad.json"), schema.DETAIL)
     assert bad.where("title is not null").count() == 0
     sinks.write_json_records(cases, str(tmp_path / "j"))
     back = tables.read_json_records(spark, str(tmp_path / "j"), schema.CASE, array_file=False)
