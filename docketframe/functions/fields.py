@@ -15,11 +15,11 @@ from docketframe import rules
 from docketframe.functions.text import (
     ascii_digits,
     bind,
-    blank_to_null,
     clean_ws,
     contains_any,
     find,
     find_all,
+    find_or_null,
     fixed2,
     numeral_text,
     numeral_texts,
@@ -28,7 +28,7 @@ from docketframe.functions.text import (
 
 def first_hit(text: Column, patterns: Sequence[str], group: int) -> Column:
     """The first pattern that hits anywhere wins; later ones are not tried."""
-    return F.coalesce(*[blank_to_null(find(text, p, group)) for p in patterns], F.lit(""))
+    return F.coalesce(*[find_or_null(text, p, group) for p in patterns], F.lit(""))
 
 
 def labelled(text: Column, cascade: Sequence[tuple[str, list[str]]], otherwise: str) -> Column:
@@ -115,7 +115,7 @@ def prison_terms(body: Column, patterns: Sequence[str] = rules.PRISON_TERMS) ->
     def read(clause: Column) -> Column:
         """Years, months and years on probation, NULL where not given."""
         rule = (rules.TERM_YEARS, rules.TERM_MONTHS, rules.PROBATION_YEARS)
-        return numeral_texts(*[blank_to_null(find(clause, p, 1)) for p in rule])
+        return numeral_texts(*[find_or_null(clause, p, 1) for p in rule])
 
     def part(number: Column, before: str, after: str) -> Column:
         return F.coalesce(F.concat(F.lit(before), number, F.lit(after)), F.lit(""))
@@ -131,12 +131,10 @@ def prison_terms(body: Column, patterns: Sequence[str] = rules.PRISON_TERMS) ->
 
 def sentence(body: Column, patterns: Sequence[str] = rules.PRISON_TERMS) -> Column:
     """First prison term, else detention, else exemption."""
-    detention = blank_to_null(find(body, rules.DETENTION_MONTHS, 1))
+    detention = numeral_text(find_or_null(body, rules.DETENTION_MONTHS, 1))
     return F.coalesce(
         F.get(prison_terms(body, patterns), F.lit(0)),
-        F.when(
-            detention.isNotNull(), F.concat(F.lit("拘役"), numeral_text(detention), F.lit("个月"))
-        ),
+        F.concat(F.lit("拘役"), detention, F.lit("个月")),
         F.when(F.contains(body, F.lit(rules.EXEMPTION)), rules.EXEMPTION),
         F.lit(""),
     )

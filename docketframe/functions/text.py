@@ -143,6 +143,16 @@ def find(text: Column, pattern: str, group: int = 0) -> Column:
     return _guarded(text, pattern, hit, F.lit(""))
 
 
+def find_or_null(text: Column, pattern: str, group: int = 0) -> Column:
+    """As :func:`find`, but NULL if there is no hit.
+
+    A plain ``nullif`` would put the regex into the plan twice wherever Spark
+    cannot compute it ahead, that is inside conditions and lambdas.
+    """
+    hit = bind(F.regexp_extract(text, java_regex(pattern), group), blank_to_null)
+    return _guarded(text, pattern, hit, F.lit(None).cast("string"))
+
+
 def find_all(text: Column, pattern: str, group: int = 0) -> Column:
     hit = F.regexp_extract_all(text, F.lit(java_regex(pattern)), F.lit(group))
     return _guarded(text, pattern, hit, F.array().cast("array<string>"))
@@ -185,7 +195,7 @@ def ascii_digits(c: Column) -> Column:
 
 def first_number(c: Column, default: float = 0.0) -> Column:
     """First number in the text as a double; ``default`` if there is none."""
-    hit = blank_to_null(ascii_digits(find(c, rules.FIRST_NUMBER)))
+    hit = ascii_digits(find_or_null(c, rules.FIRST_NUMBER))
     return F.coalesce(hit.try_cast("double"), F.lit(float(default)))
 
 

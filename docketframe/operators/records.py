@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from docketframe import rules, schema
 from docketframe.functions import fields
 from docketframe.functions.clean import flatten_body
-from docketframe.functions.text import blank_to_null, cn_to_num, find
+from docketframe.functions.text import blank_to_null, cn_to_num, find_or_null
 
 
 def parse_records(df: DataFrame, body: str = "body", reason: str = rules.CASE_REASON) -> DataFrame:
@@ -47,7 +47,7 @@ def with_typed_fields(df: DataFrame) -> DataFrame:
     """Typed companions of the text fields; NULL where the text has no value."""
 
     def number(pattern: str) -> Column:
-        return cn_to_num(blank_to_null(find(F.col("sentence"), pattern, 1))).cast("int")
+        return cn_to_num(find_or_null(F.col("sentence"), pattern, 1)).cast("int")
 
     months = number(rules.TERM_MONTHS)
     years = number(r"^(\d+)年")
