@@ -98,7 +98,10 @@ def _token(pattern: str, i: int) -> tuple[str, str | None]:
     if pattern[i] == "\\":
         return pattern[i : i + 2], None
     if pattern[i] == "[":
-        return pattern[i : pattern.index("]", i + 1) + 1], None
+        j = i + 1
+        while pattern[j] != "]":
+            j += 2 if pattern[j] == "\\" else 1
+        return pattern[i : j + 1], None
     if pattern[i] != "(":
         return pattern[i], None
     j = i + 1

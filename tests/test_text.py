@@ -49,7 +49,7 @@ def test_rule_patterns_find_what_python_finds(apply, pattern):
     "pattern, literal",
     [
         ("目录", "目录"), ("ab?c", "a"), ("ab+cd", "ab"), ("(ab)+c", "c"), ("(ab|c)d", "d"),
-        ("a{2}bcd", "bcd"), ("x(?!abcd)y", "x"), (r"[abc]{3}\d", ""), ("a|b", ""), ("(?:a|b)", ""),
+        ("a{2}bcd", "bcd"), ("x(?!abcd)y", "x"), (r"[abc]{3}\d", ""), (r"[^\]xyz]ab", "ab"), ("a|b", ""), ("(?:a|b)", ""),
     ],
 )
 def test_required_literal(pattern, literal):
