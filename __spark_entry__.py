@@ -20,6 +20,14 @@ from docketframe.session import new_path, spread, staged  # noqa: E402
 from docketframe.sources import sinks, tables  # noqa: E402
 from docketframe.streaming import ingest  # noqa: E402
 
+try:
+    from docketframe.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    # The package works without that subpackage; any other failure is real.
+    if missing.name not in ("docketframe.llm", "docketframe.llm.queries", "corpus_pipeline"):
+        raise
+    llm_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
@@ -473,8 +481,9 @@ def queries() -> dict[str, Query]:
         "stream_batches": stream_batches,
         "stream_resume": stream_resume,
         "stream_append_csv": stream_append_csv,
+        **(llm_queries.QUERIES if llm_queries else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql()
+    return {**oracles.oracle_sql(), **(llm_queries.ORACLE_SQL if llm_queries else {})}
