@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketframe.llm import ngram_join, substring_dedup
+from docketframe.llm import decontaminate, ngram_join, oracles, secrets, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,13 +16,23 @@ def op1_substring_dedup(spark, sf_dir):
     return removed.drop("kept_text")
 
 
+def op2_secret_scan(spark, sf_dir):
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op4_ngram_join(spark, sf_dir):
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op5_decontamination(spark, sf_dir):
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_secret_scan": op2_secret_scan,
     "op4_ngram_join": op4_ngram_join,
+    "op5_decontamination": op5_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = oracles.ORACLE_SQL
