@@ -72,4 +72,11 @@ def _contamination() -> str:
 ORACLE_SQL = {
     "op2_secret_scan": _secrets(),
     "op5_decontamination": _contamination(),
+    "op10_warc": """
+    WITH p AS (SELECT page_id, sha256(coalesce(html, '')) AS payload_digest, octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages),
+    f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) END AS first_id FROM p)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN first_id IS NULL OR page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+    FROM f""",
 }

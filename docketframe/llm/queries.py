@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketframe.llm import decontaminate, ngram_join, oracles, secrets, substring_dedup
+from docketframe.llm import archive, decontaminate, ngram_join, oracles, personal, secrets, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op2_secret_scan(spark, sf_dir):
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op3_personal_data(spark, sf_dir):
+    return personal.find_personal(table(spark, sf_dir, "documents")).drop("redacted")
+
+
 def op4_ngram_join(spark, sf_dir):
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -28,11 +32,18 @@ def op5_decontamination(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_warc(spark, sf_dir):
+    back = archive.round_trip(table(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_secret_scan": op2_secret_scan,
+    "op3_personal_data": op3_personal_data,
     "op4_ngram_join": op4_ngram_join,
     "op5_decontamination": op5_decontamination,
+    "op10_warc": op10_warc,
 }
 
 ORACLE_SQL: dict[str, str] = oracles.ORACLE_SQL

@@ -57,3 +57,9 @@ def similar(docs: dict, n: int = 5, num: int = 80, den: int = 100) -> dict:
             x, y = sorted((find(a), find(b)))
             root[y] = x
     return {i: (len(sets[i]), find(i)) for i in docs}
+
+
+def crc(text: str) -> int:
+    import zlib
+
+    return zlib.crc32(text.encode())
