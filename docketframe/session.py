@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,6 +40,19 @@ def local_session(cores: int | str = "*", name: str = "docketframe", **extra: st
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let executors import this package wherever the driver found it; once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parent
+        archive = Path(tempfile.mkdtemp(prefix="docketframe-")) / package.name
+        sc.addPyFile(shutil.make_archive(str(archive), "zip", package.parent, package.name))
+        _SHIPPED.add(sc.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster shares, as the session names it.
 
