@@ -219,3 +219,20 @@ def find_personal(docs: DataFrame) -> DataFrame:
             ))
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
+
+
+def redact(docs: DataFrame) -> DataFrame:
+    """``docs`` with all columns, its texts redacted and n_chars, if there, counted anew.
+
+    Null texts stay null; other columns are passed on as they are.
+    """
+
+    def run(source):
+        for rows in source:
+            texts = [t if t is None else redacted(t, [s for found in find(t) for s in found]) for t in rows["text"].to_pylist()]
+            new = {"text": pa.array(texts, rows["text"].type)}
+            if "n_chars" in rows.schema.names:
+                new["n_chars"] = pa.array([None if t is None else len(t) for t in texts], rows["n_chars"].type)
+            yield pa.RecordBatch.from_arrays([new.get(c, rows[c]) for c in rows.schema.names], rows.schema.names)
+
+    return docs.mapInArrow(run, docs.schema)

@@ -3,11 +3,36 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from docketframe.llm import archive, decontaminate, ngram_join, oracles, personal, secrets, substring_dedup
+from docketframe.llm import (
+    archive,
+    decontaminate,
+    ngram_join,
+    oracles,
+    packing,
+    personal,
+    quality_classifier,
+    quality_rules,
+    secrets,
+    substring_dedup,
+    toxicity,
+)
+from docketframe.llm.labelled import held_out
+from docketframe.session import ship_package
+
+#: The file of the public tokenizers that packing uses here.
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -32,6 +57,31 @@ def op5_decontamination(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_quality_rules(spark, sf_dir):
+    return quality_rules.assess(table(spark, sf_dir, "documents"))
+
+
+def _predicted(scored: DataFrame, least: float) -> DataFrame:
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= least).cast("int").alias("predicted"))
+
+
+def op7_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return _predicted(toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels"))), 0.5)
+
+
+def op8_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return _predicted(quality_classifier.score(docs, quality_classifier.train(docs, table(spark, sf_dir, "labels"))), 0.3)
+
+
+def op9_packing(spark, sf_dir):
+    import public_tokenizers
+
+    packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op10_warc(spark, sf_dir):
     back = archive.round_trip(table(spark, sf_dir, "pages"))
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -43,7 +93,12 @@ QUERIES = {
     "op3_personal_data": op3_personal_data,
     "op4_ngram_join": op4_ngram_join,
     "op5_decontamination": op5_decontamination,
+    "op6_quality_rules": op6_quality_rules,
+    "op7_toxicity": op7_toxicity,
+    "op8_quality_classifier": op8_quality_classifier,
+    "op9_packing": op9_packing,
     "op10_warc": op10_warc,
+    "pipeline": pipeline,
 }
 
 ORACLE_SQL: dict[str, str] = oracles.ORACLE_SQL
