@@ -2,7 +2,8 @@
 
 Every set is put in one global order, rarest n-gram first.  Two sets that reach
 the threshold share an n-gram within their prefixes, so only prefixes are
-joined.  A pair then has to pass, in turn, the length filter, the positional
+joined, and of the smaller set only the part that can still give the overlap
+that an equally large one needs.  A pair then has to pass, in turn, the length filter, the positional
 filter (what is left after the shared place can still reach the threshold), the
 suffix filter (n-grams counted in cells of the hash range: the differences of
 the counts bound the overlap from above) and, once, the comparison of both sets.
@@ -27,10 +28,10 @@ from docketframe.session import staged
 
 #: Cells of the suffix filter.
 CELLS = np.arange(1, 32, dtype=np.uint64) << np.uint64(59)
-#: Posting lists up to this length are joined as they are; longer ones go by hubs first.
+#: Posting lists led by up to this many sets are joined as they are; others go by hubs first.
 SHORT_LIST = 12
 #: Members of a long list that are compared with all others in one round.
-HUBS = 4
+HUBS = 8
 
 SETS = "doc_id long, n_shingles long, signature binary, tokens array<long>, places array<int>, members binary"
 
@@ -154,6 +155,17 @@ def _pairs(left: DataFrame, right: DataFrame, where: str) -> DataFrame:
     return side(left, "x").join(side(right, "y"), "token").where(where)
 
 
+#: Posts that no leader of their list can be joined with are of no use.
+_USEFUL = "leads OR reach >= least"
+
+
+def _lists(posts: DataFrame) -> DataFrame:
+    """Lists that have a leader: token, size, leaders, and the least size of a leading set."""
+    least = F.min(F.when(F.col("leads"), F.col("n_shingles"))).alias("least")
+    lists = posts.drop("size", "leaders").groupBy("token").agg(F.count("*").alias("size"), F.count_if("leads").alias("leaders"), least)
+    return lists.where("leaders > 0")
+
+
 def links(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, connect_only: bool = False) -> tuple[DataFrame, DataFrame]:
     """(one row per document with its class, linked pairs of classes).
 
@@ -174,46 +186,54 @@ def links(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, connect_on
         .select("doc_id", "n_shingles", F.col("t.tokens").alias("token"), F.col("t.places").alias("place"))
         .dropDuplicates(["token", "doc_id"])
     )
-    lists = posts.groupBy("token").agg(F.count("*").alias("size")).where("size > 1")
-    posts = staged(posts.join(lists, "token").withColumn("label", F.col("doc_id")))
-    short = posts.where(f"size <= {SHORT_LIST}") if connect_only else posts
-    open_posts = posts.where(f"size > {SHORT_LIST}")
+    # The smaller set of a pair needs num / (num + den) of both sizes, so of twice its own at least.
+    # ``reach``: the largest size of a smaller set with which what stands from here on can be enough.
+    posts = posts.withColumn("reach", F.expr(f"((n_shingles - place) * {num + den} - {num} * n_shingles) div {num}"))
+    posts = posts.withColumn("leads", F.col("reach") >= F.col("n_shingles")).withColumn("label", F.col("doc_id"))
+    posts = posts.join(_lists(posts), "token").where(_USEFUL).drop("size", "leaders", "least")
+    posts = staged(posts.join(_lists(posts).drop("least").where("size > 1"), "token"))
+    bound = f"leaders <= {SHORT_LIST}"
+    short = posts.where(bound) if connect_only else posts
+    open_posts = posts.where(f"NOT ({bound})").drop("leaders")
     empty = spark.createDataFrame([], "a long, b long")
-    found = staged(_verified(_filtered(_pairs(short, short, "x < y"), num, den), members, num, den))
+    found = staged(_verified(_filtered(_pairs(short.where("leads"), short, "x <> y AND n_x <= n_y"), num, den), members, num, den))
     if connect_only and not open_posts.isEmpty():
         tested, labels = empty, component_labels(found)
         for turn in itertools.count():
             # A list whose members are all connected has nothing left to test.
             now = open_posts.drop("label").join(labels, open_posts["doc_id"] == labels["node"], "left")
-            now = now.withColumn("label", F.coalesce("label", "doc_id")).drop("node")
-            by_label = now.groupBy("token", "label").agg(F.count("*").alias("m"))
-            per = by_label.groupBy("token").agg(F.sum("m").alias("size"), F.max("m").alias("most"), F.count("*").alias("kinds"))
-            now = staged(now.drop("size").join(per.where("kinds > 1").drop("kinds"), "token"))
-            cross = now.groupBy("token").agg(F.first("size").alias("size"), F.first("most").alias("most")).agg(
-                F.sum("size"), F.sum(F.col("size") * (F.col("size") - F.col("most")))
-            ).first()
+            now = now.withColumn("label", F.coalesce("label", "doc_id")).drop("node", "size")
+            now = staged(now.join(_lists(now).select("token", "least"), "token").where(_USEFUL).drop("least"))
+            by_label = now.groupBy("token", "label").agg(F.count("*").alias("own"), F.count_if("leads").alias("own_leaders"))
+            per = by_label.groupBy("token").agg(F.sum("own").alias("size"), F.sum("own_leaders").alias("leaders"), F.count("*").alias("kinds"))
+            per = staged(per.where("kinds > 1 AND leaders > 0").select("token", "size"))
+            now = staged(now.join(per, "token"))
+            cross = by_label.join(per, "token").agg(F.sum("own"), F.sum(F.col("own_leaders") * (F.col("size") - F.col("own")))).first()
             if cross[0] is None:
                 break
-            if cross[1] <= 2 * HUBS * cross[0]:
-                candidates, last = _pairs(now, now, "x < y AND label_x <> label_y"), True
-            else:
-                hubs = _hubs(now, turn)
-                candidates, last = _pairs(hubs, now, "x <> y AND label_x <> label_y"), False
-                gone = hubs.select("token", "doc_id")
-                open_posts = staged(now.drop("size", "most").join(gone, ["token", "doc_id"], "left_anti"))
+            last = cross[1] <= 2 * HUBS * cross[0]
+            hubs = now.where("leads") if last else _hubs(now.where("leads"), turn)
+            # A pair with two leaders of one size would come twice; it is made distinct below.
+            candidates = _pairs(hubs, now, "x <> y AND n_x <= n_y AND label_x <> label_y")
             fresh = staged(_filtered(candidates, num, den).join(tested, ["a", "b"], "left_anti"))
             true = staged(_verified(fresh, members, num, den))
-            found, tested = found.unionByName(true), tested.unionByName(fresh)
+            found, tested = staged(found.unionByName(true)), staged(tested.unionByName(fresh))
             if last:
                 break
+            # A hub has met all the list; it stays as one that others lead to.
+            gone = hubs.select("token", "doc_id", F.lit(False).alias("still"))
+            open_posts = staged(
+                now.join(gone, ["token", "doc_id"], "left").withColumn("leads", F.coalesce("still", "leads")).drop("still")
+            )
             labels = component_labels(found)
     table = sets.select("doc_id", "n_shingles", "signature").join(classes, "signature", "left")
     return table.select("doc_id", "n_shingles", "class_id"), found
 
 
 def _hubs(posts: DataFrame, turn: int) -> DataFrame:
-    """A few members of each list, those of small components first, by partial aggregation."""
-    row = F.struct(F.hash("doc_id", F.lit(turn)).alias("h"), *[F.col(c) for c in ("doc_id", "n_shingles", "place", "label")])
+    """A few members of each list, those most like the others first, by partial aggregation."""
+    # A set with few n-grams of its own, whose shared ones come early, is near the middle of its group.
+    row = F.struct(F.col("place").alias("h"), F.hash("doc_id", F.lit(turn)).alias("i"), *[F.col(c) for c in ("doc_id", "n_shingles", "place", "label")])
     salted = posts.withColumn("salt", F.pmod(F.hash("doc_id"), F.lit(HUBS)))
     best = salted.groupBy("token", "salt").agg(F.min(row).alias("r"))
     return best.select("token", "r.*")
