@@ -28,12 +28,14 @@ from docketframe.session import staged
 CAPACITY = 2048
 END = 0
 #: Word pieces whose ids a Python worker keeps.
-CACHED_PIECES = 600_000
+CACHED_PIECES = 1_200_000
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
 _SPACE_THEN_SPACE = re.compile(r"\s ")
 _BEFORE_WORD = re.compile(r"(?<=\S) ")
+# A line break at an end of a piece or beside white space.
+_LOOSE_BREAK = re.compile(r"(?:^|\s)\n|\n(?:\s|$)")
 _TAIL = ".,;:!?#%&*$|"
 
 
@@ -42,7 +44,8 @@ class WordTokenizer:
 
     Byte-level BPE never joins a character and a blank after it, so a text's
     ids are those of its pieces, each with its leading blank.  Nor does it join
-    a letter or digit and punctuation after it.  Equal pieces are encoded once.
+    a line break with characters on both sides, or a letter or digit and
+    punctuation after it.  Equal pieces are encoded once.
     """
 
     def __init__(self, path: str):
@@ -57,6 +60,11 @@ class WordTokenizer:
         for piece, e in zip(fresh, self.model.encode_batch_fast(fresh, add_special_tokens=False)):
             self.known[piece] = np.array(e.ids, "<u4").tobytes()
 
+    @staticmethod
+    def _stem(part: str) -> list[str]:
+        stem = part.rstrip(_TAIL)
+        return [stem, part[len(stem) :]] if len(stem) < len(part) and stem[-1:].isalnum() else [part]
+
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         if len(self.known) > CACHED_PIECES:
@@ -69,12 +77,16 @@ class WordTokenizer:
         fresh = set().union(*rows).difference(known)
         cut = {}
         for piece in fresh:
-            stem = piece.rstrip(_TAIL)
-            if len(stem) < len(piece) and stem[-1:].isalnum():
-                cut[piece] = stem, piece[len(stem) :]
+            parts = [piece]
+            if "\n" in piece and not _LOOSE_BREAK.search(piece):
+                lines = piece.split("\n")
+                parts = [x for line in lines for x in (line, "\n")][:-1]
+            parts = [x for part in parts for x in self._stem(part)]
+            if len(parts) > 1:
+                cut[piece] = parts
         self._learn(fresh.difference(cut).union(*cut.values()) if cut else fresh)
-        for piece, (stem, tail) in cut.items():
-            known[piece] = known[stem] + known[tail]
+        for piece, parts in cut.items():
+            known[piece] = b"".join([known[x] for x in parts])
         return [b"".join([known[w] for w in row]) for row in rows]
 
 
