@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import unicodedata
 from collections.abc import Callable
@@ -32,7 +33,8 @@ def java_regex(pattern: str) -> str:
 
     ``\\d`` becomes ``\\p{Nd}``, ``\\s`` the explicit white-space class, and the
     ``(?d)`` flag makes ``.`` and ``$`` treat only ``\\n`` as a line end.  The
-    idiom ``[\\s\\S]`` (any character) stays as it is.
+    idiom ``[\\s\\S]`` (any character) stays as it is.  ``\\w``, ``\\S`` and ``\\D``
+    keep Java's ASCII meaning.
     """
     out, in_class, i = [], False, 0
     while i < len(pattern):
@@ -64,14 +66,23 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+# Patterns of literals, plain classes, plain or looking groups, quantifiers and
+# escapes that stand for no other literal.
+_PLAIN = re.compile(
+    r"(?:\\[dswDSWbB]|\\[^\w\s]|\[\^?(?:\\[dswDSW]|\\[^\w\s]|[^\[\]\\&])+\]|\((?:\?(?::|<?[=!]))?(?!\?)|[^\\\[\](])*"
+)
+
+
 @cache
 def required_literal(pattern: str) -> str:
     """The longest literal that every hit of the pattern contains, or ''.
 
     Looks at the top level and into groups that occur exactly once and have no
     alternatives; anything optional, repeated or in a class is passed over.
+    A pattern with flags, named groups, nested classes or escapes of characters
+    has none: its spelling does not show what it matches.
     """
-    if _alternates(pattern):
+    if not _PLAIN.fullmatch(pattern) or _alternates(pattern):
         return ""
     runs, i = [""], 0
     while i < len(pattern):

@@ -44,10 +44,10 @@ def parse_records(df: DataFrame, body: str = "body", reason: str = rules.CASE_RE
 
 
 def with_typed_fields(df: DataFrame) -> DataFrame:
-    """Typed companions of the text fields; NULL where the text has no value."""
+    """Typed companions of the text fields; NULL where the text has no value or one too large."""
 
     def number(pattern: str) -> Column:
-        return cn_to_num(find_or_null(F.col("sentence"), pattern, 1)).cast("int")
+        return cn_to_num(find_or_null(F.col("sentence"), pattern, 1)).try_cast("int")
 
     months = number(rules.TERM_MONTHS)
     years = number(r"^(\d+)年")
@@ -59,7 +59,7 @@ def with_typed_fields(df: DataFrame) -> DataFrame:
             ),
             "sentence_months": F.when(
                 years.isNotNull() | months.isNotNull(),
-                F.coalesce(years, F.lit(0)) * 12 + F.coalesce(months, F.lit(0)),
+                F.try_add(F.try_multiply(F.coalesce(years, F.lit(0)), F.lit(12)), F.coalesce(months, F.lit(0))),
             ),
             "probation_years": number(rules.PROBATION_YEARS),
         }

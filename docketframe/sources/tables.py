@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,16 +27,26 @@ def read_part(
 ) -> DataFrame:
     """A CSV part (byte-order mark, quoted multi-line bodies) under engine names.
 
+    Columns go by their header, in any order: those of ``csv_schema`` that a file
+    lacks are '', others are ignored.  Files read together must have one header.
     Values stay text with '' for missing, as in the file, but ``seq`` is a
     number.  A multi-line file is read by one task, so keep part files moderate
     and turn them into Parquet once (:func:`ingest_parts`).
     """
-    raw = spark.read.schema(csv_schema).options(**CSV_OPTIONS).csv(path)
-    names = [schema.COLUMN_OF[h] for h in csv_schema.names]
-    df = raw.toDF(*names)
+    header = spark.read.options(**CSV_OPTIONS).csv(path).columns or csv_schema.names
+    # Not enforced: every file's header is then compared with this one.
+    raw = spark.read.schema(schema.strings(header)).options(**CSV_OPTIONS, enforceSchema="false").csv(path)
+    place = {h.removeprefix("\ufeff").strip(): i for i, h in enumerate(header)}
+    df = raw.toDF(*[f"_{i}" for i in range(len(header))])
+
+    def column(h: str) -> Column:
+        return F.coalesce(f"_{place[h]}", F.lit("")) if h in place else F.lit("")
+
     return df.select(
-        F.col("seq").try_cast("bigint").alias("seq"),
-        *[F.coalesce(c, F.lit("")).alias(c) for c in names[1:]],
+        *[
+            column(h).try_cast("bigint").alias("seq") if schema.COLUMN_OF[h] == "seq" else column(h).alias(schema.COLUMN_OF[h])
+            for h in csv_schema.names
+        ]
     )
 
 

@@ -157,3 +157,11 @@ def test_huge_values_do_not_fail(apply):
     digits = "9" * 400
     assert apply(fields.sentence, [f"有期徒刑{digits}年。"]) == [f"{digits}年"]
     assert apply(fields.compensation, [f"赔偿{digits}元"])[0].endswith("元")
+
+
+def test_too_large_terms_do_not_stop_a_job(spark):
+    from docketframe.operators import records
+
+    rows = [("300000000年", "", ""), ("99999999999年", "", ""), ("1年6个月", "", "")]
+    df = spark.createDataFrame(rows, "sentence string, date string, compensation string")
+    assert [r["sentence_months"] for r in records.with_typed_fields(df).collect()][2] == 18

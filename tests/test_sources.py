@@ -117,3 +117,16 @@ def test_post_process_and_verify(spark, tmp_path):
 
 def test_md5_of_null(apply):
     assert apply(body_md5, [None]) == [None]
+
+
+def test_columns_go_by_header(spark, tmp_path):
+    from docketframe import schema
+    from docketframe.sources import tables
+
+    header = ["标题", "序号", "正文", "别的"]
+    (tmp_path / "a.csv").write_text("﻿" + ",".join(header) + '\nT,7,"one\ntwo",x\n', encoding="utf-8")
+    row = tables.read_part(spark, str(tmp_path / "a.csv")).first()
+    assert (row["seq"], row["title"], row["body"], row["link"]) == (7, "T", "one\ntwo", "")
+    (tmp_path / "b.csv").write_text(",".join(schema.REVIEW_CSV.names) + "\n1,t,c,n,d,男,V,http://l,B\n", encoding="utf-8")
+    row = tables.read_part(spark, str(tmp_path / "b.csv")).first()
+    assert (row["link"], row["body"]) == ("http://l", "B")

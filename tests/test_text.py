@@ -96,3 +96,15 @@ def test_clock(spark):
     row = spark.range(1).select(text.current_time_text(), text.current_millis()).first()
     assert re.fullmatch(r"\d{4}-\d\d-\d\d \d\d:\d\d:\d\d", row[0])
     assert row[1] > 1_600_000_000_000
+
+
+@pytest.mark.parametrize(
+    "pattern, value",
+    [
+        ("(?i)foo", "FOO bar"), (r"\x41bc", "xAbc"), (r"\0101zz", "Azz"), (r"(?<n>f)\k<n>oo", "ffoo"),
+        (r"x\cAb", "x\x01b"), ("[[:alpha:]]ab", ":ab"), ("[a&&[ab]]cd", "acd"), (r"\Qa.b\E", "a.b"),
+    ],
+)
+def test_patterns_whose_spelling_hides_their_literals(apply, pattern, value):
+    assert text.required_literal(pattern) == ""
+    assert apply(lambda c: text.find(c, pattern), [value]) != [""]
