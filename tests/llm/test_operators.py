@@ -114,7 +114,7 @@ def test_personal(spark):
     got = {r.doc_id: r for r in personal.find_personal(table(spark, cases.items())).collect()}
     assert (got[1].n_email, got[1].n_ip, got[1].n_card, got[1].n_phone) == (1, 1, 1, 1)
     assert got[2].spans == "email:9:28" and got[2].n_email == 0 and got[2].redacted == "write to [EMAIL]"
-    assert got[3].redacted is None and got[4].spans == "" and got[5].spans == "phone:5:19" and got[6].spans == ""
+    assert got[3].redacted is None and got[4].spans == "" and got[5].spans == f"phone:5:{len(cases[5])}" and got[6].spans == ""
 
 
 def test_redacted_documents_keep_their_columns(spark):
