@@ -9,6 +9,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 # Suited to rows that carry whole documents and pages.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -18,8 +20,8 @@ SETTINGS = {
     # Recording the Python line of every Column call doubles the time it takes
     # to build the larger rule expressions.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
-    # A page may be megabytes; keep an Arrow batch of them within memory.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
+    # A row may be megabytes: bound Arrow batches by bytes.
+    BATCH_SETTING: "8m",
 }
 
 
@@ -44,8 +46,13 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Let executors import this package wherever the driver found it; once per application."""
+    """Let executors import this package wherever the driver found it; once per application.
+
+    Bounds the session's Arrow batches as ``SETTINGS`` does, since ``SETTINGS`` do not reach
+    a session that the caller made, whose default suits narrow rows.
+    """
     sc = spark.sparkContext
+    spark.conf.set(BATCH_SETTING, SETTINGS[BATCH_SETTING])
     if sc.applicationId not in _SHIPPED:
         package = Path(__file__).resolve().parent
         archive = Path(tempfile.mkdtemp(prefix="docketframe-")) / package.name
