@@ -18,9 +18,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketframe.llm import arrays
-from docketframe.llm.shared_keys import BATCH_BYTES
 from docketframe.session import staged
 
+#: Bytes of text taken at a time, unless one text alone is longer; arrays of some 50 times that are made of them.
+BATCH_BYTES = 1_000_000
 REPEAT_WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
