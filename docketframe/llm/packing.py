@@ -182,6 +182,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids: bo
     names = [c.split()[0] for c in PIECE.split(", ")]
 
     def place(source):
+        _TOKENIZERS.clear()  # all texts are encoded by now; the worker may be kept for other work
         for rows in source:
             rank = rows["rank"].to_numpy() - 1
             first_rank, per, first, offset, length = plan[np.searchsorted(plan[:, 0], rank, "right") - 1].T
