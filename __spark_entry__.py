@@ -133,9 +133,10 @@ def chunk_lists(spark, sf_dir):
 
 
 def continue_numbers(spark, sf_dir):
-    docs = documents(spark, sf_dir).select("doc_id")
-    done = docs.select(F.lit(325).alias("seq"))
-    return corpus.continue_numbers(done, docs, ["doc_id"]).select("doc_id", "seq")
+    first, rest = (p.select("doc_id") for p in parts(spark, sf_dir))
+    done = corpus.number_rows(first, ["doc_id"])
+    more = corpus.continue_numbers(done, rest, ["doc_id"])
+    return done.unionByName(more).select("doc_id", "seq")
 
 
 def part_counts(spark, sf_dir):
@@ -311,8 +312,11 @@ def detail_success(spark, sf_dir):
     return corpus.success_counts(joined.select(text.blank_to_null(F.col("body")).alias("body")))
 
 
-def progress(spark, sf_dir):
-    summary = pages.page_summary(fixtures.list_pages(spark, sf_dir)).drop("page_id")
+def progress(spark, sf_dir, max_page=None):
+    listed = fixtures.list_pages(spark, sf_dir)
+    if max_page is not None:
+        listed = listed.where(F.col("page_no") <= max_page)  # below the parse
+    summary = pages.page_summary(listed).drop("page_id")
     # Two readers follow, and parsing HTML is the dear part: do it once.
     return pages.page_progress(staged(summary), width=50)
 
@@ -326,7 +330,7 @@ def page_advance(spark, sf_dir):
 
 def page_budget(spark, sf_dir):
     return progress(spark, sf_dir).select(
-        "crawl", "page_no", "n", "rows_before", pages.within_budget().cast("int").alias("taken")
+        "crawl", "page_no", "n", "rows_before", pages.within_budget(rules.TARGET_COUNT).cast("int").alias("taken")
     )
 
 
@@ -335,14 +339,22 @@ def stop_at_empty(spark, sf_dir):
 
 
 def page_cap(spark, sf_dir):
-    return pages.pages_to_take(progress(spark, sf_dir)).select("crawl", "page_no", "n")
+    return pages.pages_to_take(progress(spark, sf_dir, rules.MAX_PAGE), rules.TARGET_COUNT, rules.MAX_PAGE).select("crawl", "page_no", "n")
 
 
 # -- flows and streams -------------------------------------------------------
 
 
-def collect_workflow(spark, sf_dir):
-    return workflow.collect(fixtures.list_pages(spark, sf_dir), stored_pages(spark, sf_dir))
+def collected(target: int | None) -> Query:
+    """List pages with the pages that some of their links lead to, several snapshots of each."""
+
+    def run(spark, sf_dir):
+        url = F.concat(F.lit(fixtures.CASE_URL), (F.col("page_id") % fixtures.LINKED_PAGES).cast("string"))
+        details = stored_pages(spark, sf_dir).withColumn("url", url)
+        cases = workflow.collect(fixtures.list_pages(spark, sf_dir), details, target)
+        return cases.withColumn("body", clean.flatten_body(F.col("body")))
+
+    return run
 
 
 def post_process_workflow(spark, sf_dir):
@@ -385,10 +397,12 @@ def stream_batches(spark, sf_dir):
 
 
 def stream_resume(spark, sf_dir):
-    """Started twice on one checkpoint: the second run finds nothing new."""
+    """Started again on one checkpoint after more files came: only those are read."""
     out, checkpoint = new_path(spark, "resume"), new_path(spark, "resume_checkpoint")
-    for _ in range(2):
-        stream = table_stream(spark, sf_dir, "documents").select("doc_id", "text")
+    arrived = new_path(spark, "arrived")
+    for part in parts(spark, sf_dir):
+        part.select("doc_id", F.col("body").alias("text")).write.mode("append").parquet(arrived)
+        stream = ingest.file_stream(spark, arrived, "doc_id bigint, text string")
         query = ingest.append(
             stream, out, checkpoint,
             lambda df: df.select("doc_id", clean.flatten_body(F.col("text")).alias("body")),
@@ -438,7 +452,7 @@ def queries() -> dict[str, Query]:
             numbered(spark, sf).select("seq", "doc_id"), n=rules.TARGET_COUNT
         ),
         "top_cap": lambda spark, sf: corpus.first_rows(
-            documents(spark, sf).select("doc_id", "source"), "doc_id"
+            documents(spark, sf).select("doc_id", "source"), "doc_id", rules.TARGET_COUNT
         ),
         "resume_anti_join": resume_anti_join,
         "keyword_filter": keyword_filter,
@@ -475,7 +489,8 @@ def queries() -> dict[str, Query]:
         "page_budget": page_budget,
         "stop_at_empty": stop_at_empty,
         "page_cap": page_cap,
-        "collect_workflow": collect_workflow,
+        "collect_workflow": collected(None),
+        "collect_capped": collected(rules.TARGET_COUNT),
         "post_process_workflow": post_process_workflow,
         "stream_ingest": stream_ingest,
         "stream_batches": stream_batches,

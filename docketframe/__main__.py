@@ -17,7 +17,7 @@ from docketframe.streaming import ingest
 def collect(spark: SparkSession, a: argparse.Namespace) -> None:
     """List and detail pages (Parquet) to a part of case records (CSV)."""
     lists, details = (tables.read_pages(spark, p) for p in (a.list_pages, a.detail_pages))
-    cases = workflow.collect(lists, details, target=a.target or None, base=a.base)
+    cases = workflow.collect(lists, details, target=a.target, base=a.base)
     sinks.write_cases(cases, a.out, bom=True)
 
 
@@ -66,7 +66,7 @@ def parser() -> argparse.ArgumentParser:
         return sub
 
     sub = command(collect, "list_pages", "detail_pages", "out")
-    sub.add_argument("--target", type=int, default=rules.TARGET_COUNT, help="0 for all")
+    sub.add_argument("--target", type=int, help="all if not given")
     sub.add_argument("--base", default=rules.SITE_BASE)
     sub = command(ingest_details, "detail_pages", "out", "checkpoint")
     sub.add_argument("--files-per-batch", type=int)

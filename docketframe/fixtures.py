@@ -186,11 +186,14 @@ TITLE = choose(
     q(""),
     q("同题案"),
 )
+# Detail pages that links of the list lead to: stored pages stand in for them.
+CASE_URL = "https://example.invalid/case/"
+LINKED_PAGES = 100
 LINK = choose(
     5,
     joined(q("../181107/index.html?docId="), f"cast({K} as string)"),
     joined(q("/website/a?id="), f"cast({K} as string)"),
-    joined(q("https://example.invalid/case/"), f"cast({K} as string)"),
+    joined(q(CASE_URL), f"cast({K} % {LINKED_PAGES} as string)"),
     joined(q("docs/"), f"cast({K} as string)"),
     q(""),
     key=f"{K} + o_custkey",

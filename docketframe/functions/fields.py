@@ -40,16 +40,25 @@ def labelled(text: Column, cascade: Sequence[tuple[str, list[str]]], otherwise:
     return out.otherwise(otherwise)
 
 
+def head(body: Column, window: int | None) -> Column:
+    """The first code points of a body; all of it for None."""
+    return body if window is None else F.left(body, F.lit(window))
+
+
 def case_no(body: Column, pattern: str = rules.CASE_NO) -> Column:
     return find(body, pattern)
 
 
-def court(body: Column, patterns: Sequence[str] = rules.COURTS) -> Column:
-    return first_hit(F.left(body, F.lit(rules.COURT_WINDOW)), patterns, 1)
+def court(
+    body: Column, patterns: Sequence[str] = rules.COURTS, window: int | None = rules.COURT_WINDOW
+) -> Column:
+    return first_hit(head(body, window), patterns, 1)
 
 
-def decision_date(body: Column, patterns: Sequence[str] = rules.DATES) -> Column:
-    """Last date near the end of the text, as ``YYYY-MM-DD`` text."""
+def decision_date(
+    body: Column, patterns: Sequence[str] = rules.DATES, window: int | None = rules.DATE_WINDOW
+) -> Column:
+    """Last date near the end of the text (``window`` None: anywhere), as ``YYYY-MM-DD`` text."""
 
     def last(tail: Column, pattern: str) -> Column:
         def iso(hit: Column) -> Column:
@@ -60,7 +69,7 @@ def decision_date(body: Column, patterns: Sequence[str] = rules.DATES) -> Column
         return F.get(F.transform(found, iso), F.lit(0))
 
     return bind(
-        F.right(body, F.lit(rules.DATE_WINDOW)),
+        body if window is None else F.right(body, F.lit(window)),
         lambda tail: F.coalesce(*[last(tail, p) for p in patterns], F.lit("")),
     )
 
@@ -70,17 +79,26 @@ def case_reason(value: str = rules.CASE_REASON) -> Column:
     return F.lit(value)
 
 
-def gender(body: Column, patterns: Sequence[str] = rules.GENDERS) -> Column:
-    return first_hit(F.left(body, F.lit(rules.GENDER_WINDOW)), patterns, 1)
+def gender(
+    body: Column, patterns: Sequence[str] = rules.GENDERS, window: int | None = rules.GENDER_WINDOW
+) -> Column:
+    return first_hit(head(body, window), patterns, 1)
+
+
+Cascade = Sequence[tuple[str, list[str]]]
 
 
-def injury_level(body: Column) -> Column:
-    return labelled(body, rules.INJURY_LEVELS, "")
+def injury_level(body: Column, levels: Cascade = rules.INJURY_LEVELS) -> Column:
+    return labelled(body, levels, "")
 
 
-def trial_procedure(body: Column) -> Column:
-    head = F.left(body, F.lit(rules.PROCEDURE_WINDOW))
-    return labelled(head, rules.PROCEDURES, rules.FIRST_INSTANCE)
+def trial_procedure(
+    body: Column,
+    procedures: Cascade = rules.PROCEDURES,
+    otherwise: str = rules.FIRST_INSTANCE,
+    window: int | None = rules.PROCEDURE_WINDOW,
+) -> Column:
+    return labelled(head(body, window), procedures, otherwise)
 
 
 def amounts(body: Column, patterns: Sequence[str] = rules.AMOUNTS) -> Column:
@@ -140,9 +158,12 @@ def sentence(body: Column, patterns: Sequence[str] = rules.PRISON_TERMS) -> Colu
     )
 
 
-def verdict(body: Column, pattern: str = rules.VERDICT) -> Column:
-    """Operative part; cut first, white space collapsed after."""
-    limit = rules.VERDICT_LIMIT
+def verdict(
+    body: Column, pattern: str = rules.VERDICT, limit: int | None = rules.VERDICT_LIMIT
+) -> Column:
+    """Operative part; cut first (``limit`` None: not at all), white space collapsed after."""
+    if limit is None:
+        return clean_ws(find(body, pattern, 1))
     return bind(
         find(body, pattern, 1),
         lambda v: clean_ws(

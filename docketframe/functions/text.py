@@ -280,9 +280,17 @@ def fixed2(value: Column) -> Column:
         total = part["whole"] * 100 + part["cents"] + F.when(up, 1).otherwise(0)
         return (total.cast("decimal(20,0)") / 100).cast("decimal(20,2)").cast("string")
 
+    def integral(v: Column) -> Column:
+        # From 2**53 a double is an integer.  Both of its parts by 2**60 are exact.
+        high = F.floor(v / F.lit(float(scale)))
+        low = v - high.cast("double") * F.lit(float(scale))
+        exact = high.cast("bigint").cast("decimal(19,0)") * scale_dec + low.cast("bigint").cast("decimal(19,0)")
+        return F.concat(exact.cast("decimal(38,0)").cast("string"), F.lit(".00"))
+
     short = value.cast("decimal(20,2)")
     return (
-        F.when(value >= float(1 << 53), F.format_string("%.2f", value))
+        F.when(value >= float(1 << 123), F.format_string("%.2f", value))
+        .when(value >= float(1 << 53), integral(value))
         .when((value < 1e12) & (short.cast("double") == value), short.cast("string"))
         .when(value.isNotNull(), rounded(value))
     )
@@ -290,7 +298,7 @@ def fixed2(value: Column) -> Column:
 
 def chunk_id(seq: Column, size: int) -> Column:
     """0-based block of ``size`` consecutive rows for a 1-based row number."""
-    return F.floor((seq - 1) / F.lit(size))
+    return F.call_function("div", seq - 1, F.lit(size))
 
 
 def current_time_text(pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:

@@ -130,7 +130,7 @@ def corpus_stats(df: DataFrame, body: str = "body", raw_chars: str = "raw_chars"
         total.alias("total_chars"),
         empty.alias("empty_rows"),
         (n - empty).alias("valid_rows"),
-        F.floor(total / F.nullif(n, F.lit(0))).alias("mean_chars"),
+        F.call_function("div", total, F.nullif(n, F.lit(0))).alias("mean_chars"),
     )
 
 
@@ -204,7 +204,7 @@ def preview(df: DataFrame, n: int = 3, seq: str = "seq") -> DataFrame:
     )
 
 
-def first_rows(df: DataFrame, order_by: str, n: int = rules.TARGET_COUNT) -> DataFrame:
+def first_rows(df: DataFrame, order_by: str, n: int) -> DataFrame:
     """Exactly the first ``n`` rows (top-k, no full sort)."""
     return df.orderBy(order_by).limit(n)
 

@@ -105,10 +105,18 @@ def one_page_per_url(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """Keep the first snapshot of each URL.
 
     Which one is decided on two narrow columns with map-side combining; the
-    wide rows are then filtered by their unique key, so no URL is a hot group.
+    wide rows are then filtered by URL and key, so no URL is a hot group.  Of
+    rows that share both, one is kept; only such rows are shuffled for it.
+    Pages without a URL are left out: no link leads to them.
     """
-    first = pages.groupBy("url").agg(F.min(key).alias(key)).select(key)
-    return pages.join(first, key, "left_semi")
+    copies = pages.groupBy("url", key).agg(F.count(F.lit(1)).alias("_n"))
+    first = copies.groupBy("url").agg(F.min(F.struct(key, "_n")).alias("_f"))
+    first = first.select("url", F.col(f"_f.{key}").alias(key), F.col("_f._n").alias("_n"))
+
+    def kept(condition: str) -> DataFrame:
+        return pages.join(first.where(condition).drop("_n"), ["url", key], "left_semi").select(pages.columns)
+
+    return kept("_n = 1").unionByName(kept("_n > 1").dropDuplicates(["url", key]))
 
 
 def attach_bodies(
@@ -117,11 +125,14 @@ def attach_bodies(
     """List records with the body of the page they link to.
 
     ``bodies`` has one row per ``url``.  Records whose page is missing get ''
-    or are dropped.  A blank link matches nothing.  Many records may share a
-    link: both sides are shuffled by the join itself, so AQE can split it.
+    or are dropped.  A blank link matches nothing, and such records are dealt
+    out by their contents.  Many records may share a link: both sides are
+    shuffled by the join itself, so AQE can split it.
     """
     right = bodies.select(F.col("url").alias("_url"), "body")
-    on = blank_to_null(F.col(link)) == F.col("_url")
+    target = blank_to_null(F.col(link))
+    dealt = F.coalesce(target, F.xxhash64(*records.columns).cast("string"))
+    on = (target == F.col("_url")) & (dealt == F.col("_url"))
     if not keep_missing:
         return records.join(right, on).drop("_url")
     return (
@@ -156,7 +167,7 @@ def page_progress(
     from a table with one row per block.  Expects one row per page, with crawl
     and page number set.
     """
-    blocked = summary.withColumn("_block", F.floor(F.col(page_no) / width))
+    blocked = summary.withColumn("_block", F.call_function("div", F.col(page_no), F.lit(width)))
     keys = [crawl, "_block"]
     totals = blocked.groupBy(*keys).agg(
         F.sum("n").alias("rows"),
@@ -199,7 +210,7 @@ def page_advanced():
     return (F.col("first_title") != "") & (F.col("first_title") != F.col("prev_first_title"))
 
 
-def within_budget(target: int = rules.TARGET_COUNT):
+def within_budget(target: int):
     """Whole pages are taken until the rows before reach the target."""
     return F.col("rows_before") < target
 
@@ -210,8 +221,14 @@ def before_empty_page():
 
 
 def pages_to_take(
-    progress: DataFrame, target: int = rules.TARGET_COUNT, max_page: int = rules.MAX_PAGE
+    progress: DataFrame, target: int | None = None, max_page: int | None = None
 ) -> DataFrame:
-    return progress.where(
-        (F.col("page_no") <= max_page) & within_budget(target) & before_empty_page()
-    )
+    """Pages up to the first empty one, and up to the caps asked for.
+
+    Nothing about a page depends on later ones, so pages past ``max_page`` are
+    better left out before they are parsed.
+    """
+    out = progress.where(before_empty_page())
+    if target is not None:
+        out = out.where(within_budget(target))
+    return out if max_page is None else out.where(F.col("page_no") <= max_page)

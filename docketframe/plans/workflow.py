@@ -13,14 +13,11 @@ from docketframe.session import staged
 from docketframe.sources import sinks
 
 
-# So many links at most are sent to all tasks to pick pages by.
-BROADCAST_LINKS = 100_000
-
 
 def collect(
     list_pages: DataFrame,
     detail_pages: DataFrame,
-    target: int | None = rules.TARGET_COUNT,
+    target: int | None = None,
     base: str | None = rules.SITE_BASE,
     order_by: Sequence[str] = ("page_id", "list_index"),
     one_snapshot_per_url: bool = False,
@@ -28,18 +25,18 @@ def collect(
 ) -> DataFrame:
     """List pages and detail pages to numbered case records.
 
-    The cap is applied before bodies are attached, and only pages that the
-    rows link to are shuffled and parsed.  Say ``one_snapshot_per_url`` if
+    All records, unless ``target`` caps them.  A cap is applied before numbering
+    (top-k in every task), and only pages that the rows link to are shuffled and
+    parsed.  Say ``one_snapshot_per_url`` if
     that is so; it saves finding the first snapshot of each.
     """
+    listed = pages.list_records(list_pages, base=base)
+    if target is not None:
+        listed = listed.orderBy(*order_by).limit(target)
     # Stored first: the range partitioning reads its input twice.
-    listed = staged(pages.list_records(list_pages, base=base), stage_path)
-    numbered = corpus.number_rows(listed, order_by)
+    numbered = corpus.number_rows(staged(listed, stage_path), order_by)
     if target is not None:
-        numbered = corpus.numbered_slice(numbered, n=target)
         wanted = numbered.select(F.col("open_link").alias("url"))
-        if target <= BROADCAST_LINKS:
-            wanted = F.broadcast(wanted)
         detail_pages = detail_pages.join(wanted, "url", "left_semi")
     if not one_snapshot_per_url:
         detail_pages = pages.one_page_per_url(detail_pages)

@@ -165,3 +165,16 @@ def test_too_large_terms_do_not_stop_a_job(spark):
     rows = [("300000000年", "", ""), ("99999999999年", "", ""), ("1年6个月", "", "")]
     df = spark.createDataFrame(rows, "sentence string, date string, compensation string")
     assert [r["sentence_months"] for r in records.with_typed_fields(df).collect()][2] == 18
+
+
+def test_windows_and_rule_lists_are_arguments(apply):
+    text = "2020年1月2日" + "甲" * 3000 + "乙法院。被告人丙，男，上诉"
+    assert apply(fields.court, [text]) == [""] and apply(lambda c: fields.court(c, window=None), [text])[0].endswith("乙法院")
+    assert apply(fields.decision_date, [text]) == [""]
+    assert apply(lambda c: fields.decision_date(c, window=None), [text]) == ["2020-01-02"]
+    assert apply(lambda c: fields.gender(c, window=None), [text]) == ["男"]
+    assert apply(lambda c: fields.trial_procedure(c, window=None), [text]) == ["二审"]
+    assert apply(lambda c: fields.trial_procedure(c, [("x", ["甲"])], "y"), [text, "丁"]) == ["x", "y"]
+    assert apply(lambda c: fields.injury_level(c, [("x", ["甲"])]), [text]) == ["x"]
+    long = "判决如下：" + "一" * 600
+    assert [len(x) for x in apply(fields.verdict, [long]) + apply(lambda c: fields.verdict(c, limit=None), [long])] == [503, 600]

@@ -196,3 +196,18 @@ def test_hostile_pages_take_linear_time():
     for source in ("<b " * 200_000, "a < b " * 200_000 + ">", '<b "' * 100_001 + ">", "<p>" * 50_000, "<!--" * 100_000):
         html.Page(source)
     assert time.time() - started < 20
+
+
+def test_a_snapshot_is_one_row_per_url(spark):
+    rows = [(1, "u", "a"), (1, "v", "b"), (0, "v", "c"), (0, "v", "c"), (2, "u", "d"), (3, None, "e")]
+    snapshots = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    kept = sorted(tuple(r) for r in pages.one_page_per_url(snapshots).collect())
+    assert kept == [(0, "v", "c"), (1, "u", "a")]
+
+
+def test_blank_links_meet_nothing_and_are_dealt_out(spark):
+    records = spark.range(1000).selectExpr("id", "CASE WHEN id < 10 THEN 'u' WHEN id % 2 = 0 THEN '' END AS link")
+    bodies = spark.createDataFrame([("u", "text"), ("", "blank"), (None, "none")], "url string, body string")
+    got = pages.attach_bodies(records, bodies)
+    assert got.count() == 1000 and got.where("body = 'text'").count() == 10 and got.where("body = ''").count() == 990
+    assert pages.attach_bodies(records, bodies, keep_missing=False).count() == 10

@@ -108,3 +108,12 @@ def test_clock(spark):
 def test_patterns_whose_spelling_hides_their_literals(apply, pattern, value):
     assert text.required_literal(pattern) == ""
     assert apply(lambda c: text.find(c, pattern), [value]) != [""]
+
+
+def test_rounding_is_exact_beyond_integers_of_a_double(spark):
+    values = [2.0**53, 1e16, 9007199254740994.0, 1e18, 1.5e19, 1e23, 1.2345e30, 1e37]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert [r[0] for r in df.select(text.fixed2(F.col("v"))).collect()] == ["%.2f" % v for v in values]
+    # Past what a decimal holds, the shortest digits are padded with zeros.
+    beyond = spark.createDataFrame([(1e38,)], "v double")
+    assert beyond.select(text.fixed2(F.col("v"))).first()[0] == "1" + "0" * 38 + ".00"
