@@ -1,7 +1,7 @@
 """Personal data in texts, also when it is disguised, at its place in the source.
 
 Transducers rewrite a text piece by piece (look-alike letters, invisible
-characters, spelled digits, "at" and "dot") and keep, for each character they
+characters, spelled digits, "at" and "dot", signs in brackets) and keep, for each character they
 write, the source characters it stands for.  The same detectors run on the
 source and on what was written; spans of the latter are mapped back.
 """
@@ -92,12 +92,16 @@ _SPELLED = re.compile(rf"\b(?:{'|'.join(_DIGIT_WORDS)})\b", re.I)
 _SPELLED_RUN = re.compile(
     rf"\b(?:(?:{'|'.join(_DIGIT_WORDS)}|[0-9]+)[\x20-]){{4,}}(?:{'|'.join(_DIGIT_WORDS)}|[0-9]+)\b", re.I
 )
-_AT = r"(?:\x20?[(\[{<]\x20?at\x20?[)\]}>]\x20?|\x20at\x20|\x20?@\x20?)"
-_DOT = r"(?:\x20?[(\[{<]\x20?dot\x20?[)\]}>]\x20?|\x20dot\x20|\.)"
-_DISGUISED = re.compile(rf"(?<![A-Za-z0-9_%+-])[A-Za-z0-9_%+-]++(?:{_DOT}[A-Za-z0-9_%+-]++){{0,4}}({_AT})[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)+", re.I)
+# A sign in brackets, between blanks, or as it is.
+_BRACKETED = r"\x20?[(\[{{<]\x20?(?:{})\x20?[)\]}}>]\x20?"
+_AT = rf"(?:{_BRACKETED.format('at|@')}|\x20at\x20|\x20?@\x20?)"
+_DOT_WORD = rf"{_BRACKETED.format(r'dot|\.')}|\x20dot\x20"
+_DOT = rf"(?:{_DOT_WORD}|\.)"
+_DISGUISED = re.compile(rf"(?<![A-Za-z0-9_%+-])[A-Za-z0-9_%+-]++(?:{_DOT}[A-Za-z0-9_%+-]++){{0,4}}({_AT})[A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]++)+", re.I)
 _DOT_SIGN = re.compile(_DOT, re.I)
-# What a disguised address holds at least, in lower case.
-_HINTS = ["dot", " @", "@ ", *[f"{b}{s}at" for b in "([{<" for s in ("", " ")]]
+_DIGIT_DOT = re.compile(rf"(?<=[0-9])(?:{_DOT_WORD})(?=[0-9])", re.I)
+# Every form of a sign that is rewritten holds one of these, in lower case.
+_HINTS = [" at ", " dot ", " @", "@ ", *[f"{b}{s}{sign}" for b in "([{<" for s in ("", " ") for sign in ("at", "@", "dot", ".")]]
 
 
 class Written:
@@ -147,6 +151,7 @@ def _digits(w: Written, lower: str) -> Written:
 def _signs(w: Written, lower: str) -> Written:
     if not any(hint in lower for hint in _HINTS):
         return w
+    w = w.rewrite([(m.start(), m.end(), ".") for m in _DIGIT_DOT.finditer(w.text)])
     edits = []
     for m in _DISGUISED.finditer(w.text):
         marks = [(m.start(1), m.end(1), "@")]

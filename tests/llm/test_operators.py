@@ -117,6 +117,37 @@ def test_personal(spark):
     assert got[3].redacted is None and got[4].spans == "" and got[5].spans == f"phone:5:{len(cases[5])}" and got[6].spans == ""
 
 
+@pytest.mark.parametrize(
+    ("before", "span", "kind"),
+    [
+        ("mail ", "jane at example.com", "email"),
+        ("mail ", "JANE AT example.com", "email"),
+        ("mail ", "jane.doe[at]example.com", "email"),
+        ("mail ", "jane @ example.com", "email"),
+        ("mail ", "joe@example dot com", "email"),
+        ("mail ", "joe@example[.]com", "email"),
+        ("mail ", "joe@example(.)com", "email"),
+        ("mail ", "joe@example { . } com", "email"),
+        ("mail ", "joe[@]example.com", "email"),
+        ("mail ", "joe(@)example.com", "email"),
+        ("mail ", "joe.d <@> example.com", "email"),
+        ("host ", "192 dot 168 dot 0 dot 1", "ip"),
+        ("host ", "192[.]168[.]0[.]1", "ip"),
+        ("host ", "192.168(.)0 [dot] 1", "ip"),
+    ],
+)
+def test_each_sign_disguise_needs_no_other(before, span, kind):
+    for text, n in ((before + span, len(before)), (before + span + " today", len(before)), (span, 0)):
+        base, more = personal.find(text)
+        assert (base, personal.written(more)) == ([], f"{kind}:{n}:{n + len(span)}"), text
+        assert personal.redacted(text, more) == text[:n] + f"[{kind.upper()}]" + text[n + len(span) :]
+
+
+def test_signs_that_hide_nothing():
+    for text in ("we met at noon. Then", "3 dot 5 dot 7", "see [.] and (.) there", "an anecdote at large", "look at (a.b)"):
+        assert personal.find(text) == ([], []), text
+
+
 def test_redacted_documents_keep_their_columns(spark):
     docs = table(spark, [(1, "x a@b.co"), (2, None)]).withColumn("n_chars", F.length("text").cast("long"))
     got = personal.redact(docs)
