@@ -11,7 +11,9 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -175,11 +177,13 @@ def find(text: str) -> tuple[list[Span], list[Span]]:
     if w is None:
         return base, []
     mapped = {(w.starts[s], k, w.ends[e - 1]) for s, k, e in detect(w.text)}
-    taken = [(s, e) for s, _, e in base]
+    # Spans of a kind do not overlap: the last that starts no later is the only one to hold another.
+    plain = [[(s, e) for s, k, e in base if k == kind] for kind in range(len(KINDS))]
     more = []
     for s, k, e in sorted(mapped - set(base)):
-        # A span that only widens or cuts a plain one is not a new one.
-        if all(e <= a or b <= s for a, b in taken):
+        at = bisect_right(plain[k], s, key=itemgetter(0)) - 1
+        # What a plain span of its kind holds already is not a new one; what reaches beyond it is.
+        if at < 0 or plain[k][at][1] < e:
             more.append((s, k, e))
     return base, more
 
@@ -204,7 +208,8 @@ def find_personal(docs: DataFrame) -> DataFrame:
     ``docs`` has doc_id and text; other columns are ignored.  A null text is
     taken as empty but stays null when redacted.  Rows repeated, null doc_id included, each give
     the same row.  No rows give no rows.  Spans count code points and exclude
-    their end.  A disguised span is reported unless it meets a plain one.
+    their end.  A disguised span is reported beside the plain ones unless one of its kind holds
+    all of it; spans that overlap are redacted as one.
     """
     schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_disguised long, redacted string"
 

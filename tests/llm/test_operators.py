@@ -148,6 +148,33 @@ def test_signs_that_hide_nothing():
         assert personal.find(text) == ([], []), text
 
 
+@pytest.mark.parametrize(
+    ("span", "plain", "kind"),
+    [
+        ("j\u043ehn.smith@example.com", "hn.smith@example.com", "email"),
+        ("j\u200bohn@example.com", "ohn@example.com", "email"),
+        ("joe@mail.example.c\u043em", "joe@mail.example.c", "email"),
+        ("joe@mail.example dot org", "joe@mail.example", "email"),
+        ("joe@mail.example[.]co[.]uk", "joe@mail.example", "email"),
+        ("+44 20 7946 095\uff18", "+44 20 7946 095", "phone"),
+        ("10.0.0.\u200b1", None, "ip"),
+        ("10.0.0.2\u200b1", "10.0.0.2", "ip"),
+    ],
+)
+def test_a_disguised_span_beside_the_plain_one_in_it(span, plain, kind):
+    text = f"to {span}, today"
+    base, more = personal.find(text)
+    assert base == personal.detect(text) and [text[s:e] for s, _, e in base] == ([plain] if plain else [])
+    assert personal.written(more) == f"{kind}:3:{3 + len(span)}"
+    assert personal.redacted(text, base + more) == f"to [{kind.upper()}], today"
+
+
+def test_a_disguise_elsewhere_adds_nothing_to_plain_spans():
+    assert personal.find("a@b.co 1.2.3.4 \u0430nd \u200b here")[1] == []
+    # The address reaches beyond the plain ip in it, and both are there.
+    assert personal.written(sorted(sum(personal.find("joe at 10.0.0.1"), []))) == "email:0:15,ip:7:15"
+
+
 def test_redacted_documents_keep_their_columns(spark):
     docs = table(spark, [(1, "x a@b.co"), (2, None)]).withColumn("n_chars", F.length("text").cast("long"))
     got = personal.redact(docs)
