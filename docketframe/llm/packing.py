@@ -45,14 +45,14 @@ class WordTokenizer:
     Byte-level BPE never joins a character and a blank after it, so a text's
     ids are those of its pieces, each with its leading blank.  Nor does it join
     a line break with characters on both sides, or a letter or digit and
-    punctuation after it.  Equal pieces are encoded once.
+    punctuation after it.  Equal pieces are encoded once.  The literal of an
+    added token, like <|endoftext|>, is that token; no piece ends inside it.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
 
     def _learn(self, pieces: set[str]) -> None:

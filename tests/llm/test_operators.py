@@ -266,6 +266,37 @@ def test_packing(spark, texts):
         assert at <= 2048
 
 
+@pytest.mark.skipif(importlib.util.find_spec("public_tokenizers") is None, reason="no tokenizer files")
+def test_added_tokens_in_texts(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path, end = public_tokenizers.path("byte_bpe_50k.json"), "<|endoftext|>"
+    texts = [
+        end, f"a {end} b", f"in{end}side", f"{end}{end}", f"x  {end}  y", f"a.\n{end}\nb", f"a\n\n{end}\n\n", f"{end}|,", f"{end}word.", f"it{end}'s",
+        f"x, {end}. Y\n{end[:-1]} {end[1:]}", f" {end} ", "<| endoftext |>", f"\t{end}\t x", f"{end}\u00a0{end}",
+    ]
+    model, held = Tokenizer.from_file(path), {}
+    for r in packing.pack(table(spark, enumerate(texts)), path, keep_ids=True).collect():
+        held[r.doc_id] = [int.from_bytes(r.ids[k : k + 4], "little") for k in range(0, len(r.ids), 4)]
+    for i, t in enumerate(texts):
+        assert held[i] == model.encode(t, add_special_tokens=False).ids + [0], t
+
+
+@pytest.mark.skipif(importlib.util.find_spec("public_tokenizers") is None, reason="no tokenizer files")
+def test_pieces_of_texts_give_the_ids_of_the_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path, rng = public_tokenizers.path("byte_bpe_50k.json"), random.Random(7)
+    parts = ["<|endoftext|>", "<|endoftext|>", " ", " ", "\n", "\t", "a", "word", "It", "'s", ".", ",", "|", "<|", "|>", "12", "\u00e9", "\u00a0", "#"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(1, 14))) for _ in range(20_000)]
+    wanted = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
+    got = packing.WordTokenizer(path).ids(texts)
+    wrong = [t for t, e, ids in zip(texts, wanted, got) if b"".join(x.to_bytes(4, "little") for x in e.ids) != ids]
+    assert not wrong, wrong[:5]
+
+
 def test_archive(spark, tmp_path):
     big = "x" * 200
     rows = [(3, "u", big), (1, "u\r\nv", big), (2, None, "small"), (4, "u", "small"), (5, "u", None), (6, "u", "é" * 300_000)]
