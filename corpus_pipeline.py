@@ -14,32 +14,60 @@ from docketframe.session import ship_package, staged
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """Rows whose doc_id is not in ``gone``.  Rows without a doc_id cannot be named and stay."""
-    return docs.join(gone.select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+#: Names a row within a stage: rows that a stage reads alike share it, and no others but by chance (64 bits).
+KEY = "_row_key"
+
+
+def _keyed(docs: DataFrame, *read: str) -> DataFrame:
+    """``docs`` with a key of doc_id and the columns read, null ones included."""
+    columns = [F.col(c) for c in ("doc_id", *read)]
+    return docs.withColumn(KEY, F.xxhash64(*[x for c in columns for x in (c.isNull(), c)]))
+
+
+def _by_key(keyed: DataFrame) -> DataFrame:
+    """What operators get: the key takes the place of doc_id."""
+    return keyed.drop("doc_id").withColumnRenamed(KEY, "doc_id")
+
+
+def _without(keyed: DataFrame, gone: DataFrame) -> DataFrame:
+    """Rows whose key is not in ``gone``."""
+    return keyed.join(gone.select(KEY), KEY, "left_anti")
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality rules: documents that fail the base rules or are outliers of their kind go."""
     ship_package(spark)
-    return _without(docs, quality_rules.assess(docs).where("NOT kept"))
+    keyed = _keyed(docs, "text", "lang", "source")
+    poor = quality_rules.assess(_by_key(keyed)).where("NOT kept")
+    return _without(keyed, poor.withColumnRenamed("doc_id", KEY)).select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, that with the smallest doc_id."""
+    """One document of each group of near duplicates stays, that with the smallest doc_id; a null one is the largest.
+
+    Rows that share a doc_id but not a text are documents of their own.
+    """
     ship_package(spark)
-    near = ngram_join.near_duplicates(docs.select("doc_id", "text"))
-    first = _without(docs, near.where("component_id <> doc_id"))
+    keyed = _keyed(docs, "text")
+    near = ngram_join.near_duplicates(_by_key(keyed).select("doc_id", "text"))
+    near = near.select(F.col("doc_id").alias(KEY), "component_id").dropDuplicates([KEY])
+    named = keyed.groupBy(KEY).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("rows"))
+    members = staged(near.join(named, KEY))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", KEY)).alias("first")
+    kept = members.groupBy("component_id").agg(first).select(f"first.{KEY}")
+    unlike = _without(keyed, members.join(kept, KEY, "left_anti"))
     # A row given twice is a group as well.
-    twice = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1")
-    again = first.join(twice.select("doc_id"), "doc_id", "left_semi").select(docs.columns)
-    return _without(first, twice).unionByName(again.dropDuplicates(["doc_id"]))
+    twice = members.where("rows > 1").select(KEY)
+    again = unlike.join(twice, KEY, "left_semi").dropDuplicates([KEY])
+    return _without(unlike, twice).unionByName(again).select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a run of a benchmark item go."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _without(docs, decontaminate.contamination(docs, items).where("contaminated"))
+    keyed = _keyed(docs, "text")
+    hit = decontaminate.contamination(_by_key(keyed), items).where("contaminated")
+    return _without(keyed, hit.withColumnRenamed("doc_id", KEY)).select(docs.columns)
 
 
 def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

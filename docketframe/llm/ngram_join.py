@@ -247,8 +247,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
     den * |A ∩ B| >= num * |A ∪ B|; component_id is the smallest doc_id that
     links reach, the document's own included.  Rows without words, and rows
     whose doc_id is null, are alone; the latter have a null component.  Rows
-    with the same doc_id and text are one document, each with its row.  No rows
-    give no rows.
+    with the same doc_id and text are one document, each with its row.  Rows
+    with the same doc_id and other texts have to be given ids of their own
+    before, or links of all but one of them may be lost.  No rows give no rows.
     """
     table, found = links(docs, n, num, den, connect_only=True)
     labels = component_labels(found)

@@ -338,3 +338,37 @@ def test_pipeline_stages(spark, tmp_path):
         assert kept.columns == docs.columns
     rows = {r.doc_id: r.text for r in kept.collect()}
     assert set(rows) == set(range(80)) | {102} and rows[102].endswith("[EMAIL]")
+
+
+def test_pipeline_judges_each_row_by_itself(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(4)
+    item = words(rng, 15)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    a, b, c, d, e = (words(rng, 60) for _ in range(5))
+    leak = words(rng, 40) + " " + item
+    good = [(i, words(rng, 60)) for i in range(100, 160)]
+    rows = [
+        (1, a), (1, b), (1, "too short"),  # one id, texts that are not alike, one poor
+        (2, b), (2, leak), (3, c), (3, c), (None, c),  # b is there with a smaller id
+        (None, d), (None, d), (None, e), (None, leak + " x"), (None, "poor"), (None, None),
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in rows + good], "doc_id long, text string, lang string, source string")
+
+    def after(*names):
+        kept = docs
+        for name, stage in corpus_pipeline.STAGES:
+            if name in names:
+                kept = stage(spark, kept, str(tmp_path))
+        assert kept.columns == docs.columns
+        return sorted(((r.doc_id, r.text) for r in kept.collect() if r.doc_id is None or r.doc_id < 100), key=str)
+
+    def wanted(*gone):
+        return sorted((r for r in rows if r[1] not in gone), key=str)
+
+    assert after("quality_rules") == wanted("too short", "poor", None)
+    assert after("decontamination") == wanted(leak, leak + " x")
+    copies = sorted([(1, a), (1, b), (3, c), (None, d), (None, e), (2, leak)], key=str)
+    assert after("quality_rules", "ngram_join") == copies
+    assert after("quality_rules", "ngram_join", "decontamination") == [r for r in copies if r[1] != leak]
