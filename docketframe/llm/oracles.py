@@ -79,4 +79,30 @@ ORACLE_SQL = {
            CASE WHEN first_id IS NULL OR page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
            CASE WHEN page_id <> first_id THEN first_id END AS refers_to
     FROM f""",
+    "op13_fill_in_middle": r"""
+    WITH t AS (
+      SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS hex,
+             regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS tokens
+      FROM documents),
+    h AS (
+      SELECT *, len(tokens) AS n, ('0x' || hex[1:8])::UBIGINT AS h1, ('0x' || hex[9:16])::UBIGINT AS h2,
+             ('0x' || hex[17:24])::UBIGINT AS h3, ('0x' || hex[25:32])::UBIGINT AS h4
+      FROM t),
+    c AS (
+      SELECT doc_id, text, n, tokens, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+             CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+                  WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+      FROM h),
+    p AS (
+      SELECT doc_id, text, n, form, coalesce(array_to_string(tokens[1:low::BIGINT], ''), '') AS prefix,
+             coalesce(array_to_string(tokens[low::BIGINT + 1:high::BIGINT], ''), '') AS middle,
+             coalesce(array_to_string(tokens[high::BIGINT + 1:], ''), '') AS suffix
+      FROM c)
+    SELECT doc_id, n::BIGINT AS n, form,
+           CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                            ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+           sha256(text) AS restored_sha256
+    FROM p""",
 }

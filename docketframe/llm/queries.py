@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketframe.llm import (
     archive,
     decontaminate,
+    fill_in_middle,
     ngram_join,
     oracles,
     packing,
+    periodic_runs,
     personal,
     quality_classifier,
     quality_rules,
@@ -87,6 +91,40 @@ def op10_warc(spark, sf_dir):
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def _planted_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """One text in ten repeats a part of itself up to its end; which, where and how follows from doc_id."""
+    h = zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
+    if doc_id is None or h % 10 or not words:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+def op11_periodic_runs(spark, sf_dir):
+    found = periodic_runs.find_runs(table(spark, sf_dir, "documents"), rewrite=_planted_tail)
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(line, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"strongest.{c}").alias(c) for c in ("start", "length", "period")],
+        F.expr("strongest.length * 1000 div strongest.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_fill_in_middle(spark, sf_dir):
+    cut = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_in_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_secret_scan": op2_secret_scan,
@@ -98,6 +136,8 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_packing": op9_packing,
     "op10_warc": op10_warc,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": pipeline,
 }
 
