@@ -21,6 +21,7 @@ from docketframe.llm import (
     secrets,
     substring_dedup,
     toxicity,
+    vector_graph,
 )
 from docketframe.llm.labelled import held_out
 from docketframe.session import ship_package
@@ -116,6 +117,10 @@ def op11_periodic_runs(spark, sf_dir):
     )
 
 
+def op12_nearest_neighbours(spark, sf_dir):
+    return vector_graph.search_all(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op13_fill_in_middle(spark, sf_dir):
     cut = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"))
     return cut.select(
@@ -137,6 +142,7 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_warc": op10_warc,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_nearest_neighbours": op12_nearest_neighbours,
     "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": pipeline,
 }
