@@ -17,7 +17,7 @@ from docketframe.functions import clean, fields, html, links, text  # noqa: E402
 from docketframe.operators import corpus, pages, records  # noqa: E402
 from docketframe.plans import workflow  # noqa: E402
 from docketframe.session import new_path, spread, staged  # noqa: E402
-from docketframe.sources import sinks, tables  # noqa: E402
+from docketframe.sources import blocks, sinks, tables  # noqa: E402
 from docketframe.streaming import ingest  # noqa: E402
 
 try:
@@ -194,6 +194,23 @@ def json_round_trip(spark, sf_dir):
     return tables.read_json_records(spark, path, schema.CASE, array_file=False)
 
 
+def csv_blocks(spark, sf_dir):
+    """One CSV file with line breaks in its values, read by several tasks."""
+    path = new_path(spark, "csv_file")
+    sinks.write_cases(fixtures.cases(spark, sf_dir).coalesce(1), path, bom=True)
+    return blocks.read_part_blocks(spark, path)
+
+
+def json_array_records(spark, sf_dir):
+    """One JSON array, read by several tasks; some of its elements are broken."""
+    cases = fixtures.cases(spark, sf_dir)
+    broken = F.concat(F.lit('{"seq": '), "seq", F.lit(', "body": tru}'))
+    text = F.when(F.col("seq") % 50 == oracles.BROKEN, broken).otherwise(F.to_json(F.struct(*cases.columns)))
+    path = new_path(spark, "json_array")
+    sinks.write_json_array(cases.select(text.alias("value")).coalesce(1), path)
+    return blocks.read_json_array(spark, path, schema.CASE, corrupt="unread")
+
+
 def page_store(spark, sf_dir):
     details = tables.read_pages(spark, f"{sf_dir}/pages.parquet").select(
         F.lit("").alias("case_no"), F.col("page_id").alias("index"), F.col("html").alias("html_content")
@@ -469,7 +486,9 @@ def queries() -> dict[str, Query]:
         ),
         "csv_round_trip": csv_round_trip,
         "flattened_csv": flattened_csv,
+        "csv_blocks": csv_blocks,
         "json_round_trip": json_round_trip,
+        "json_array_records": json_array_records,
         "page_store": page_store,
         "page_body_chain": page_body_chain,
         "page_detail_chain": page_detail_chain,

@@ -10,7 +10,7 @@ from docketframe import rules, schema
 from docketframe.operators import corpus, pages, records
 from docketframe.plans import workflow
 from docketframe.session import SETTINGS, staged
-from docketframe.sources import sinks, tables
+from docketframe.sources import blocks, sinks, tables
 from docketframe.streaming import ingest
 
 
@@ -32,7 +32,8 @@ def ingest_details(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def post_process(spark: SparkSession, a: argparse.Namespace) -> None:
     """CSV parts to the merged, cleaned, numbered and reviewed tables."""
-    parts = [tables.read_part(spark, p) for p in a.parts]
+    read = blocks.read_part_blocks if a.blocks else tables.read_part
+    parts = [read(spark, p) for p in a.parts]
     workflow.post_process(parts, a.out).show(truncate=False)
 
 
@@ -72,6 +73,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--files-per-batch", type=int)
     sub = command(post_process, "out")
     sub.add_argument("parts", nargs="+")
+    sub.add_argument("--blocks", action="store_true", help="read each file by many tasks; quotes must be as CSV writers set them")
     command(parse, "part", "out")
     sub = command(preview, "review")
     sub.add_argument("--rows", type=int, default=3)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketframe import schema
 from docketframe.functions.links import file_key
 from docketframe.operators.records import export_table, flattened, text_report
+from docketframe.session import ship_package
 
 BYTE_ORDER_MARK = "﻿"
 # The writer would escape with a backslash and trim values by default.
@@ -64,6 +68,24 @@ def write_json_records(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def write_json_array(df: DataFrame, path: str) -> None:
+    """Records as JSON arrays, one element a line and one array a file."""
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = "["
+        for batch in batches:
+            texts = []
+            for text in batch["value"].to_pylist():
+                texts.append(before + text)
+                before = ","
+            yield pa.RecordBatch.from_pydict({"value": texts}, pa.schema([("value", pa.string())]))
+        yield pa.RecordBatch.from_pydict({"value": ["]" if before == "," else "[]"]})
+
+    as_text = df.select(F.to_json(F.struct(*df.columns)).alias("value")) if df.columns != ["value"] else df
+    ship_package(df.sparkSession)
+    as_text.mapInArrow(lines, "value string").write.mode("overwrite").text(path)
+
+
 def write_page_store(details: DataFrame, path: str) -> None:
     """Raw HTML of detail records, keyed by a name free of path characters."""
     details.select(

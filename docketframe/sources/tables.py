@@ -36,6 +36,11 @@ def read_part(
     header = spark.read.options(**CSV_OPTIONS).csv(path).columns or csv_schema.names
     # Not enforced: every file's header is then compared with this one.
     raw = spark.read.schema(schema.strings(header)).options(**CSV_OPTIONS, enforceSchema="false").csv(path)
+    return part_columns(raw, header, csv_schema)
+
+
+def part_columns(raw: DataFrame, header: Sequence[str], csv_schema: T.StructType) -> DataFrame:
+    """The columns of a part under engine names, from values in the order of its header."""
     place = {h.removeprefix("\ufeff").strip(): i for i, h in enumerate(header)}
     df = raw.toDF(*[f"_{i}" for i in range(len(header))])
 
