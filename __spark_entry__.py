@@ -303,12 +303,12 @@ def title_first_match(spark, sf_dir):
 
 
 def linked_documents(spark, sf_dir):
-    link = F.concat(F.lit("http://pages.invalid/"), (F.col("doc_id") % 300).cast("string"))
+    link = F.concat(F.lit("http://pages.invalid/"), F.expr("doc_id div 5").cast("string"))
     return documents(spark, sf_dir).select("doc_id", link.alias("link"))
 
 
 def snapshot_bodies(spark, sf_dir):
-    url = F.concat(F.lit("http://pages.invalid/"), (F.col("page_id") % 200).cast("string"))
+    url = F.concat(F.lit("http://pages.invalid/"), F.expr("page_id div 2").cast("string"))
     snapshots = pages.one_page_per_url(stored_pages(spark, sf_dir).withColumn("url", url))
     return pages.page_bodies(snapshots).select(
         "url", clean.flatten_body(F.col("body")).alias("body")
@@ -362,18 +362,38 @@ def page_cap(spark, sf_dir):
 # -- flows and streams -------------------------------------------------------
 
 
+def case_snapshots(spark, sf_dir):
+    """The stored pages as case pages, several snapshots of each."""
+    url = F.concat(F.lit(fixtures.CASE_URL), F.expr(f"page_id div {fixtures.SNAPSHOTS}").cast("string"))
+    return stored_pages(spark, sf_dir).withColumn("url", url)
+
+
 def collected(target: int | None) -> Query:
-    """List pages with the pages that some of their links lead to, several snapshots of each."""
+    """List pages with the pages that some of their links lead to."""
 
     def run(spark, sf_dir):
-        url = F.concat(F.lit(fixtures.CASE_URL), (F.col("page_id") % fixtures.LINKED_PAGES).cast("string"))
-        details = stored_pages(spark, sf_dir).withColumn("url", url)
-        cases = workflow.collect(fixtures.list_pages(spark, sf_dir), details, target)
+        cases = workflow.collect(fixtures.list_pages(spark, sf_dir), case_snapshots(spark, sf_dir), target)
         return cases.withColumn("body", clean.flatten_body(F.col("body")))
 
     return run
 
 
+def crawl_pages(spark, sf_dir):
+    """List pages whose titles tell them apart, but for a page that did not turn now and then."""
+    return fixtures.list_pages(spark, sf_dir).withColumn("html", F.expr(fixtures.sql_literals(fixtures.TURNED)))
+
+
+def collect_until_stop(spark, sf_dir):
+    lists = crawl_pages(spark, sf_dir)
+    cases = workflow.collect_until_stop(lists, case_snapshots(spark, sf_dir), max_page=None)
+    return cases.withColumn("body", clean.flatten_body(F.col("body")))
+
+
+def pages_until_stop(spark, sf_dir):
+    taken, _ = pages.pages_until_stop(crawl_pages(spark, sf_dir), target=100, max_page=24)
+    return pages.listed_summary(taken).select("crawl", "page_no", "n", "first_title")
+
+
 def post_process_workflow(spark, sf_dir):
     cases = fixtures.cases(spark, sf_dir)
     two = [cases.where("date = ''"), cases.where("date <> ''")]
@@ -510,6 +530,8 @@ def queries() -> dict[str, Query]:
         "page_cap": page_cap,
         "collect_workflow": collected(None),
         "collect_capped": collected(rules.TARGET_COUNT),
+        "collect_until_stop": collect_until_stop,
+        "pages_until_stop": pages_until_stop,
         "post_process_workflow": post_process_workflow,
         "stream_ingest": stream_ingest,
         "stream_batches": stream_batches,

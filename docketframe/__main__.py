@@ -17,7 +17,11 @@ from docketframe.streaming import ingest
 def collect(spark: SparkSession, a: argparse.Namespace) -> None:
     """List and detail pages (Parquet) to a part of case records (CSV)."""
     lists, details = (tables.read_pages(spark, p) for p in (a.list_pages, a.detail_pages))
-    cases = workflow.collect(lists, details, target=a.target, base=a.base)
+    if a.stop:
+        crawl = lists.selectExpr("0 AS crawl", "page_id AS page_no", "html")
+        cases = workflow.collect_until_stop(crawl, details, a.target, a.max_page, a.base)
+    else:
+        cases = workflow.collect(lists, details, target=a.target, base=a.base)
     sinks.write_cases(cases, a.out, bom=True)
 
 
@@ -68,6 +72,8 @@ def parser() -> argparse.ArgumentParser:
 
     sub = command(collect, "list_pages", "detail_pages", "out")
     sub.add_argument("--target", type=int, help="all if not given")
+    sub.add_argument("--stop", action="store_true", help="take the list pages as one crawl, in order, and stop it as a live one is")
+    sub.add_argument("--max-page", type=int, help="with --stop: the last page")
     sub.add_argument("--base", default=rules.SITE_BASE)
     sub = command(ingest_details, "detail_pages", "out", "checkpoint")
     sub.add_argument("--files-per-batch", type=int)

@@ -188,12 +188,13 @@ TITLE = choose(
 )
 # Detail pages that links of the list lead to: stored pages stand in for them.
 CASE_URL = "https://example.invalid/case/"
-LINKED_PAGES = 100
+# A URL has a few snapshots, and some URLs have a few links, whatever the size of the tables.
+SNAPSHOTS = 3
 LINK = choose(
     5,
     joined(q("../181107/index.html?docId="), f"cast({K} as string)"),
     joined(q("/website/a?id="), f"cast({K} as string)"),
-    joined(q(CASE_URL), f"cast({K} % {LINKED_PAGES} as string)"),
+    joined(q(CASE_URL), f"cast(floor({K} / 100) as bigint)"),
     joined(q("docs/"), f"cast({K} as string)"),
     q(""),
     key=f"{K} + o_custkey",
@@ -216,6 +217,11 @@ ITEM_HTML = joined(
     q("<br></span></div></div>"),
 )
 
+# Titles that are alike on many pages are told apart by page number; every 41st page shows the
+# number of the page before.
+SHOWN_PAGE = "cast(page_no - (CASE WHEN page_no % 41 = 40 THEN 1 ELSE 0 END) as string)"
+TURNED = f"""replace(replace(html, '故意伤害案甲', concat('题', {SHOWN_PAGE})), '">   </a>', concat('">  题', {SHOWN_PAGE}, '</a>'))"""
+
 
 def read_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir}/orders.parquet"))

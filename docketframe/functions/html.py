@@ -255,11 +255,10 @@ LISTING = pa.struct(
             pa.list_(
                 pa.struct(
                     [("list_index", pa.int32())]
-                    + [(n, pa.string()) for n in ("title", "link", "case_no", "court", "date")]
+                    + [(n, pa.string()) for n in ("title", "link", "open_link", "case_no", "court", "date")]
                 )
             ),
         ),
-        ("anchors", pa.list_(pa.struct([("title", pa.string()), ("link", pa.string())]))),
     ]
 )
 DETAIL = pa.struct([(n, pa.string()) for n in ("full_text", "html_content", "heading")])
@@ -287,10 +286,11 @@ def listing(
     item: str = rules.LIST_ITEM,
     fields: dict[str, str] | None = None,
 ) -> Column:
-    """A result-list page: its items in order, and all title links of the page.
+    """A result-list page: its items in order.
 
     An item's ``title`` and ``link`` are NULL when it has no title link; other
-    missing fields are ''.
+    missing fields are ''.  ``open_link`` is the page's first title link with
+    the item's title, from one map of the page's titles.
     """
     fields = dict(fields or rules.LIST_FIELDS)
 
@@ -302,21 +302,21 @@ def listing(
 
     def read(source: str) -> dict:
         page = Page(source)
-        items = []
+        items, first = [], {}
+        for link in (anchor(page, e) for e in page.select(fields["title"])):
+            first.setdefault(link["title"], link["link"])
         for at, e in enumerate(page.select(item)):
             row = {"list_index": at, **anchor(page, page.first(fields["title"], e))}
+            row["open_link"] = first.get(row["title"])
             for name in ("case_no", "court", "date"):
                 hit = page.first(fields[name], e)
                 row[name] = page.text(hit).strip() if hit else ""
             items.append(row)
-        return {
-            "items": items,
-            "anchors": [anchor(page, e) for e in page.select(fields["title"])],
-        }
+        return {"items": items}
 
     @F.arrow_udf(
-        "struct<items:array<struct<list_index:int,title:string,link:string,case_no:string,"
-        "court:string,date:string>>,anchors:array<struct<title:string,link:string>>>"
+        "struct<items:array<struct<list_index:int,title:string,link:string,open_link:string,case_no:string,"
+        "court:string,date:string>>>"
     )
     def run(batch: pa.Array) -> pa.Array:
         rows = [None if h is None else read(h) for h in batch.to_pylist()]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,16 +12,15 @@ from docketframe import rules
 from docketframe.functions import html as H
 from docketframe.functions.links import absolute_link
 from docketframe.functions.text import blank_to_null
+from docketframe.session import staged
 
 ITEM_COLUMNS = ["list_index", "title", "link", "case_no", "court", "date"]
 
 
 def with_listing(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Parse list pages: ``items`` and ``anchors`` replace the HTML column."""
+    """Parse list pages: ``items`` replaces the HTML column."""
     return pages.withColumn("_l", H.listing(F.col(html))).select(
-        *[c for c in pages.columns if c != html],
-        F.col("_l.items").alias("items"),
-        F.col("_l.anchors").alias("anchors"),
+        *[c for c in pages.columns if c != html], F.col("_l.items").alias("items")
     )
 
 
@@ -37,23 +37,24 @@ def list_records(
     leaves links as they are written in the page.
 
     ``open_link`` is where opening the item by its title leads: the first link
-    of the page with that title.  It is found inside the page's own array, so
+    of the page with that title.  It is found while the page is read, so
     no join is needed.
     """
-    listed = with_listing(pages, html)
+    return listed_records(with_listing(pages, html), keep_untitled, base)
+
+
+def listed_records(
+    listed: DataFrame, keep_untitled: bool = False, base: str | None = rules.SITE_BASE
+) -> DataFrame:
+    """As :func:`list_records`, of pages parsed by :func:`with_listing`."""
 
     def resolved(link):
         return link if base is None else absolute_link(link, base)
 
-    def opened(item):
-        same = F.filter("anchors", lambda a: a["title"] == item["title"])
-        return item.withField("open_link", F.get(same, F.lit(0))["link"])
-
     out = listed.select(
-        *[c for c in listed.columns if c not in ("items", "anchors")],
-        F.explode(F.transform("items", opened)).alias("i"),
+        *[c for c in listed.columns if c != "items"], F.explode("items").alias("i")
     ).select(
-        *[c for c in listed.columns if c not in ("items", "anchors")],
+        *[c for c in listed.columns if c != "items"],
         (F.col("i.list_index") + 1).alias("index"),
         *[F.col(f"i.{c}").alias(c) for c in [*ITEM_COLUMNS, "open_link"]],
     )
@@ -144,10 +145,14 @@ def attach_bodies(
 
 def page_summary(pages: DataFrame, html: str = "html") -> DataFrame:
     """Per list page: number of usable items and the first title on it."""
-    listed = with_listing(pages, html)
+    return listed_summary(with_listing(pages, html))
+
+
+def listed_summary(listed: DataFrame) -> DataFrame:
+    """As :func:`page_summary`, of pages parsed by :func:`with_listing`."""
     usable = F.filter("items", lambda i: i["title"].isNotNull())
     return listed.select(
-        *[c for c in listed.columns if c not in ("items", "anchors")],
+        *[c for c in listed.columns if c != "items"],
         F.size(usable).alias("n"),
         F.coalesce(F.get(usable, F.lit(0))["title"], F.lit("")).alias("first_title"),
     )
@@ -232,3 +237,68 @@ def pages_to_take(
     if target is not None:
         out = out.where(within_budget(target))
     return out if max_page is None else out.where(F.col("page_no") <= max_page)
+
+
+def pages_until_stop(
+    pages: DataFrame,
+    target: int | None = None,
+    max_page: int | None = None,
+    crawl: str = "crawl",
+    page_no: str = "page_no",
+    html: str = "html",
+    first_pages: int = 16,
+) -> tuple[DataFrame, DataFrame]:
+    """(the pages that each crawl takes, parsed; crawl and number of all pages that were parsed).
+
+    A crawl takes its pages in order and stops at the first that is empty, has
+    the page before's first title or a blank one (turning the page did not work), lies past ``max_page``, or comes after
+    ``target`` rows.  Pages past a stop are not parsed, but for those of one
+    block: pages are taken in blocks of numbers, the first of ``first_pages``, each twice as
+    wide as all before it, so rounds grow with the logarithm of the longest crawl and at most
+    as many pages are parsed in vain as were needed.  Between rounds one row per crawl that
+    still runs is kept: its rows so far and its last first title.
+
+    Expects one row per page, with crawl and page number set; a gap in the
+    numbers stops nothing.  Each block is stored when it has been parsed, and stays
+    in the shared folder for the caller to remove.
+    """
+    if max_page is not None:
+        pages = pages.where(F.col(page_no) <= max_page)
+    low, high = pages.agg(F.min(page_no), F.max(page_no)).first()
+    running = pages.select(crawl).distinct().withColumns({"_rows": F.lit(0).cast("bigint"), "_title": F.lit(None).cast("string")})
+    taken, parsed, width = [], [], first_pages
+    while low is not None and low <= high:
+        block = pages.where(F.col(page_no).between(low, low + width - 1)).join(running, crawl, "left_semi")
+        listed = staged(with_listing(block, html))
+        parsed.append(listed.select(crawl, page_no))
+        # Narrow: one row a page, a title and a few numbers.
+        summary = page_progress(listed_summary(listed).select(crawl, page_no, "n", "first_title"), crawl, page_no)
+        known = running.join(listed.groupBy(crawl).agg(F.min(page_no).alias("_first")), crawl)
+        before = F.when(F.col(page_no) == F.col("_first"), F.col("_title")).otherwise(F.col("prev_first_title"))
+        repeated = F.coalesce(F.col("first_title") == before, F.lit(False)) | (before.isNotNull() & (F.col("first_title") == ""))
+        stops = (F.col("n") == 0) | repeated
+        if target is not None:
+            stops = stops | (F.col("_rows") + F.col("rows_before") >= target)
+        state = staged(
+            summary.join(known, crawl)
+            .withColumn("_stops", stops)
+            .groupBy(crawl)
+            .agg(
+                F.min(F.when(F.col("_stops"), F.col(page_no))).alias("_stop"),
+                (F.max("_rows") + F.sum("n")).alias("_rows"),
+                F.max(F.struct(page_no, "first_title"))["first_title"].alias("_title"),
+            )
+        )
+        kept = listed.join(state.select(crawl, "_stop"), crawl).where(F.col("_stop").isNull() | (F.col(page_no) < F.col("_stop")))
+        taken.append(kept.drop("_stop"))
+        # A crawl without pages in this block goes on as it was.
+        running = staged(
+            running.join(state.select(crawl), crawl, "left_anti").unionByName(state.where("_stop IS NULL").select(crawl, "_rows", "_title"))
+        )
+        if running.isEmpty():
+            break
+        low, width = low + width, 2 * width
+    if not taken:
+        nothing = with_listing(pages, html).limit(0)
+        return nothing, nothing.select(crawl, page_no)
+    return reduce(DataFrame.unionByName, taken), reduce(DataFrame.unionByName, parsed)

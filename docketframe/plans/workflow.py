@@ -13,7 +13,6 @@ from docketframe.session import staged
 from docketframe.sources import sinks
 
 
-
 def collect(
     list_pages: DataFrame,
     detail_pages: DataFrame,
@@ -35,7 +34,36 @@ def collect(
         listed = listed.orderBy(*order_by).limit(target)
     # Stored first: the range partitioning reads its input twice.
     numbered = corpus.number_rows(staged(listed, stage_path), order_by)
-    if target is not None:
+    return _with_bodies(numbered, detail_pages, target is not None, one_snapshot_per_url)
+
+
+def collect_until_stop(
+    list_pages: DataFrame,
+    detail_pages: DataFrame,
+    target: int | None = rules.TARGET_COUNT,
+    max_page: int | None = rules.MAX_PAGE,
+    base: str | None = rules.SITE_BASE,
+    crawl: str = "crawl",
+    page_no: str = "page_no",
+    one_snapshot_per_url: bool = False,
+    stage_path: str | None = None,
+) -> DataFrame:
+    """As :func:`collect`, with each crawl stopped as a live one is.
+
+    A crawl ends at its first empty page, at a page that did not turn, past ``max_page``, and
+    when it has ``target`` rows at the end of a page (:func:`pages.pages_until_stop`).
+    Neither list pages far past a stop nor detail pages that no taken row opens are
+    parsed.  Rows are numbered by crawl, page and place on it.
+    """
+    taken, _ = pages.pages_until_stop(list_pages, target, max_page, crawl, page_no)
+    listed = pages.listed_records(taken, base=base)
+    numbered = corpus.number_rows(listed, [crawl, page_no, "list_index"], stage_path=stage_path)
+    return _with_bodies(numbered, detail_pages, True, one_snapshot_per_url)
+
+
+def _with_bodies(numbered: DataFrame, detail_pages: DataFrame, few: bool, one_snapshot_per_url: bool) -> DataFrame:
+    """Case records from numbered list records and the pages they open; ``few`` of all pages, or most."""
+    if few:
         wanted = numbered.select(F.col("open_link").alias("url"))
         detail_pages = detail_pages.join(wanted, "url", "left_semi")
     if not one_snapshot_per_url:

@@ -211,3 +211,65 @@ def test_blank_links_meet_nothing_and_are_dealt_out(spark):
     got = pages.attach_bodies(records, bodies)
     assert got.count() == 1000 and got.where("body = 'text'").count() == 10 and got.where("body = ''").count() == 990
     assert pages.attach_bodies(records, bodies, keep_missing=False).count() == 10
+
+
+def crawl_of(spark, *pages_of_titles, crawl=1):
+    rows = [
+        (crawl, no, "".join(f'<div class="LM_list"><a class="caseName" href="/{t}">{t}</a></div>' for t in titles))
+        for no, titles in enumerate(pages_of_titles)
+    ]
+    return spark.createDataFrame(rows, "crawl int, page_no int, html string")
+
+
+def taken_numbers(found):
+    return sorted((r.crawl, r.page_no) for r in found.select("crawl", "page_no").collect())
+
+
+@pytest.mark.parametrize(
+    "titles, target, max_page, n",
+    [
+        ([["a", "b"], ["c"], [], ["d"]], None, None, 2),  # an empty page
+        ([["a", "b"], ["a", "c"], ["d"]], None, None, 1),  # the page did not turn
+        ([["a"], ["", "c"], ["d"]], None, None, 1),  # nor is a blank title a new one
+        ([["", "b"], ["c"]], None, None, 2),  # but the first page needs none
+        ([["a", "b"], ["c", "d"], ["e", "f"], ["g"]], 3, None, 2),  # whole pages up to the target
+        ([["a"], ["b"], ["c"]], None, 1, 2),
+        ([[], ["b"]], None, None, 0),
+        ([["a"]], None, None, 1),
+    ],
+)
+def test_a_crawl_stops(spark, titles, target, max_page, n):
+    for first_pages in (1, 2, 16):
+        taken, _ = pages.pages_until_stop(crawl_of(spark, *titles), target, max_page, first_pages=first_pages)
+        assert taken_numbers(taken) == [(1, i) for i in range(n)]
+
+
+def test_pages_past_a_stop_are_not_parsed(spark):
+    short = crawl_of(spark, *[[f"s{i}"] for i in range(5)], [], *[[f"s{i}"] for i in range(6, 400)])
+    long = crawl_of(spark, *[[f"l{i}"] for i in range(100)], crawl=2)
+    taken, parsed = pages.pages_until_stop(short.unionByName(long), first_pages=4)
+    assert taken_numbers(taken) == [(1, i) for i in range(5)] + [(2, i) for i in range(100)]
+    # Blocks of 4, 8, 16 ...: the short crawl is left alone after its second block.
+    assert taken_numbers(parsed) == [(1, i) for i in range(12)] + [(2, i) for i in range(100)]
+    _, parsed = pages.pages_until_stop(long, target=20, first_pages=4)
+    assert parsed.count() == 28
+
+
+def test_a_crawl_with_gaps_goes_on(spark):
+    crawl = crawl_of(spark, *[[f"t{i}"] for i in range(40)])
+    gappy = crawl.where("page_no < 3 OR page_no > 30").unionByName(crawl_of(spark, *[["x"]] * 3, crawl=2).where("page_no = 1"))
+    taken, _ = pages.pages_until_stop(gappy, first_pages=2)
+    assert taken_numbers(taken) == [(1, i) for i in [0, 1, 2, *range(31, 40)]] + [(2, 1)]
+
+
+def test_no_pages_at_all(spark):
+    taken, parsed = pages.pages_until_stop(crawl_of(spark, ["a"]).limit(0))
+    assert taken.count() == parsed.count() == 0
+
+
+def test_a_title_opens_its_first_link_on_a_page_of_very_many(spark):
+    n = 100_000
+    items = "".join(f'<div class="LM_list"><a class="caseName" href="/{i}">t{i % 1000}</a></div>' for i in range(n))
+    listed = pages.list_records(spark.createDataFrame([(1, items)], "page_id int, html string"), base=None)
+    rows = listed.select("list_index", "open_link").collect()
+    assert len(rows) == n and all(r.open_link == f"/{r.list_index % 1000}" for r in rows)
