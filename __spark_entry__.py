@@ -8,6 +8,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from pyspark.errors import StreamingQueryException  # noqa: E402
 from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
@@ -448,6 +449,52 @@ def stream_resume(spark, sf_dir):
     return spark.read.schema("doc_id bigint, body string").parquet(out)
 
 
+def thirds(spark, sf_dir) -> list[DataFrame]:
+    docs = documents(spark, sf_dir).withColumnRenamed("text", "body")
+    return [docs.where("lang = 'en'"), docs.where("lang = 'de'"), docs.where("lang NOT IN ('en', 'de')")]
+
+
+def stream_numbered(spark, sf_dir):
+    """Three batches arrive; the second is stopped after it was stored, and comes again."""
+    out, checkpoint, arrived = (new_path(spark, n) for n in ("numbered", "numbered_checkpoint", "arrived"))
+
+    def stop(batch_id: int) -> None:
+        raise RuntimeError("stopped")
+
+    def run(**options) -> None:
+        stream = ingest.file_stream(spark, arrived, "doc_id bigint, body string")
+        body = clean.flatten_body(F.col("body"))
+        query = ingest.append_numbered(stream, out, checkpoint, ["doc_id"], then=lambda df: df.withColumn("body", body), **options)
+        query.awaitTermination()
+
+    for i, part in enumerate(thirds(spark, sf_dir)):
+        part.select("doc_id", "body").write.mode("append").parquet(arrived)
+        if i == 1:
+            try:
+                run(before_commit=stop)
+            except StreamingQueryException as stopped:
+                if "stopped" not in str(stopped):
+                    raise
+        run()
+    return spark.read.parquet(out)
+
+
+def stream_progress(spark, sf_dir):
+    """Rows and characters of each batch, as the query's events told them."""
+    out, checkpoint, arrived, path = (new_path(spark, n) for n in ("told", "told_checkpoint", "arrived", "progress"))
+    for part in thirds(spark, sf_dir):
+        part.select("doc_id", "body").write.mode("append").parquet(arrived)
+        events = ingest.ProgressTable(spark, path)
+        spark.streams.addListener(events)
+        try:
+            stream = ingest.file_stream(spark, arrived, "doc_id bigint, body string")
+            ingest.append(stream, out, checkpoint, ingest.with_progress).awaitTermination()
+            events.wait()
+        finally:
+            spark.streams.removeListener(events)
+    return events.table().select("batch_id", "rows", "chars", "input_rows")
+
+
 def stream_append_csv(spark, sf_dir):
     out, checkpoint = new_path(spark, "stream_csv"), new_path(spark, "stream_csv_checkpoint")
     query = ingest.append(
@@ -536,6 +583,8 @@ def queries() -> dict[str, Query]:
         "stream_ingest": stream_ingest,
         "stream_batches": stream_batches,
         "stream_resume": stream_resume,
+        "stream_numbered": stream_numbered,
+        "stream_progress": stream_progress,
         "stream_append_csv": stream_append_csv,
         **(llm_queries.QUERIES if llm_queries else {}),
     }

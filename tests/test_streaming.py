@@ -1,3 +1,7 @@
+import time
+
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from docketframe.functions import clean
@@ -97,3 +101,68 @@ def test_progress(spark, tmp_path):
         assert listener.rows == 10
     finally:
         spark.streams.removeListener(listener)
+
+
+def numbered_rows(spark, out):
+    return sorted((r.seq, r.batch_id, r.id) for r in spark.read.parquet(out).collect())
+
+
+@pytest.mark.parametrize("point", ["stored", "numbered"])
+def test_numbers_go_on_from_batch_to_batch(spark, tmp_path, point):
+    """The second of three batches is stopped: in its work, or when all of it has been stored."""
+    src, out, cp = (str(tmp_path / n) for n in ("src", "out", "cp"))
+    schema = spark.createDataFrame([], SCHEMA).schema
+    flag = tmp_path / "fail"
+    flag.write_text(str(tmp_path))
+
+    def fail(batch_id):
+        if batch_id == 1 and point == "numbered" and flag.exists():
+            raise RuntimeError("stopped")
+
+    def then(df):
+        broken = F.raise_error(F.lit("stopped")).cast("string")
+        stop = point == "stored" and flag.exists()
+        return df.withColumn("body", F.when(F.lit(stop) & (F.col("id") == 15), broken).otherwise(F.col("body")))
+
+    def run():
+        stream = ingest.file_stream(spark, src, schema, files_per_batch=1)
+        ingest.append_numbered(stream, out, cp, ["id"], start=100, then=then, before_commit=fail).awaitTermination()
+
+    for i in (20, 10, 0):  # later batches hold smaller ids
+        add_file(spark, src, i, i + 10)
+        time.sleep(1.1)  # files are taken by age
+    with pytest.raises(StreamingQueryException):
+        run()
+    flag.unlink()
+    run()
+    run()
+    expected = [(101 + k, b, i) for k, (b, i) in enumerate((b, i) for b, s in enumerate((20, 10, 0)) for i in range(s, s + 10))]
+    assert numbered_rows(spark, out) == expected
+    assert ingest.last_number(spark, f"{cp}/numbers", 3) == 130 and ingest.last_number(spark, f"{cp}/numbers", 0, 7) == 7
+
+
+def test_a_lost_checkpoint_numbers_anew(spark, tmp_path):
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    add_file(spark, src, 0, 10)
+    schema = spark.createDataFrame([], SCHEMA).schema
+    for cp in ("cp1", "cp2"):
+        ingest.append_numbered(ingest.file_stream(spark, src, schema), out, str(tmp_path / cp), ["id"]).awaitTermination()
+    assert [r[0] for r in numbered_rows(spark, out)] == list(range(1, 11))
+
+
+def test_progress_as_a_table(spark, tmp_path):
+    src, out, cp, path = (str(tmp_path / n) for n in ("src", "out", "cp", "progress"))
+    schema = spark.createDataFrame([], SCHEMA).schema
+    for i in range(3):
+        add_file(spark, src, i * 10, i * 10 + 10 + i)
+    events = ingest.ProgressTable(spark, path)
+    spark.streams.addListener(events)
+    try:
+        stream = ingest.file_stream(spark, src, schema, files_per_batch=1)
+        ingest.append(stream, out, cp, ingest.with_progress).awaitTermination()
+        assert events.wait()
+    finally:
+        spark.streams.removeListener(events)
+    rows = events.table().orderBy("batch_id").collect()
+    assert [r.batch_id for r in rows] == [0, 1, 2] and sorted(r.rows for r in rows) == [10, 11, 12]
+    assert sum(r.chars for r in rows) == spark.read.parquet(src).selectExpr("sum(length(body))").first()[0]
