@@ -15,7 +15,7 @@ from pyspark.sql import functions as F  # noqa: E402
 import oracles  # noqa: E402
 from docketframe import fixtures, rules, schema  # noqa: E402
 from docketframe.functions import clean, fields, html, links, text  # noqa: E402
-from docketframe.operators import corpus, pages, records  # noqa: E402
+from docketframe.operators import corpus, pages, reconcile, records  # noqa: E402
 from docketframe.plans import workflow  # noqa: E402
 from docketframe.session import new_path, spread, staged  # noqa: E402
 from docketframe.sources import blocks, sinks, tables  # noqa: E402
@@ -156,6 +156,20 @@ def reconcile_counts(spark, sf_dir):
     return workflow.verify_written(cases, tables.read_part(spark, path))
 
 
+def reconcile_rows(spark, sf_dir):
+    """Cases against what was written of them, with some rows lost, added, doubled and changed on the way."""
+    cases = staged(fixtures.cases(spark, sf_dir))
+    k = F.col("seq")
+    kept = cases.where(k % 501 != 3).withColumns(
+        {"title": F.when(k % 701 == 5, "x").otherwise(F.col("title")), "body": F.when(k % 1402 == 5, "y").otherwise(F.col("body"))}
+    )
+    added = cases.where(k % 601 == 11).withColumn("seq", -k)
+    path = new_path(spark, "written")
+    sinks.write_cases(kept.unionByName(added).unionByName(cases.where(k % 901 == 17)), path)
+    written = staged(tables.read_part(spark, path))
+    return reconcile.row_differences(cases, written, ["seq"], few_rows=1000)
+
+
 def preview_rows(spark, sf_dir):
     return corpus.preview(reviewed(spark, sf_dir))
 
@@ -528,6 +542,7 @@ def queries() -> dict[str, Query]:
         "corpus_stats": corpus_stats,
         "part_counts": part_counts,
         "reconcile_counts": reconcile_counts,
+        "reconcile_rows": reconcile_rows,
         "preview_rows": preview_rows,
         "resume_offset": lambda spark, sf: corpus.numbered_slice(
             numbered(spark, sf).select("seq", "doc_id"), skip=325
