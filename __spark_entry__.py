@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from functools import reduce
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F  # noqa: E402
 import oracles  # noqa: E402
 from docketframe import fixtures, rules, schema  # noqa: E402
 from docketframe.functions import clean, fields, html, links, text  # noqa: E402
-from docketframe.operators import corpus, pages, reconcile, records  # noqa: E402
+from docketframe.operators import corpus, keyword_index, pages, reconcile, records  # noqa: E402
 from docketframe.plans import workflow  # noqa: E402
 from docketframe.session import new_path, spread, staged  # noqa: E402
 from docketframe.sources import blocks, sinks, tables  # noqa: E402
@@ -183,6 +184,14 @@ def keyword_filter(spark, sf_dir):
     return corpus.matching(documents(spark, sf_dir), "tion", "text").select("doc_id")
 
 
+def indexed_phrases(spark, sf_dir):
+    """What an index of all texts finds for phrases of several kinds."""
+    path = new_path(spark, "keyword_index")
+    keyword_index.build(documents(spark, sf_dir), "doc_id", "text", path)
+    found = [keyword_index.search(spark, path, p).select(F.lit(p).alias("phrase"), F.col("key").alias("doc_id")) for p in oracles.PHRASES]
+    return reduce(DataFrame.unionByName, found)
+
+
 def keyword_years(spark, sf_dir):
     return corpus.matching(reviewed(spark, sf_dir), years=(1995, 2025)).select("seq")
 
@@ -556,6 +565,7 @@ def queries() -> dict[str, Query]:
         "resume_anti_join": resume_anti_join,
         "keyword_filter": keyword_filter,
         "keyword_years": keyword_years,
+        "keyword_index": indexed_phrases,
         "short_body_flag": on_documents(
             is_short=lambda c: clean.is_short(c).cast("int"),
             is_blank=lambda c: clean.is_blank(c).cast("int"),
