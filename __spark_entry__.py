@@ -16,7 +16,7 @@ from pyspark.sql import functions as F  # noqa: E402
 import oracles  # noqa: E402
 from docketframe import fixtures, rules, schema  # noqa: E402
 from docketframe.functions import clean, fields, html, links, text  # noqa: E402
-from docketframe.operators import corpus, keyword_index, pages, reconcile, records  # noqa: E402
+from docketframe.operators import corpus, keyword_index, pages, reconcile, records, resume  # noqa: E402
 from docketframe.plans import workflow  # noqa: E402
 from docketframe.session import new_path, spread, staged  # noqa: E402
 from docketframe.sources import blocks, sinks, tables  # noqa: E402
@@ -184,6 +184,14 @@ def keyword_filter(spark, sf_dir):
     return corpus.matching(documents(spark, sf_dir), "tion", "text").select("doc_id")
 
 
+def resume_filtered(spark, sf_dir):
+    """As resume_anti_join, by stored filters; what is collected was stored in two runs."""
+    path, done = new_path(spark, "collected"), read(spark, sf_dir, "labels").select("doc_id", "quality")
+    for run in ("quality = 1", "quality IS NULL OR quality <> 1"):
+        resume.remember(done.where(run), "doc_id", path, bucket_keys=500)
+    return resume.not_remembered(documents(spark, sf_dir).select("doc_id", "source"), "doc_id", path)
+
+
 def indexed_phrases(spark, sf_dir):
     """What an index of all texts finds for phrases of several kinds."""
     path = new_path(spark, "keyword_index")
@@ -563,6 +571,7 @@ def queries() -> dict[str, Query]:
             documents(spark, sf).select("doc_id", "source"), "doc_id", rules.TARGET_COUNT
         ),
         "resume_anti_join": resume_anti_join,
+        "resume_filtered": resume_filtered,
         "keyword_filter": keyword_filter,
         "keyword_years": keyword_years,
         "keyword_index": indexed_phrases,
