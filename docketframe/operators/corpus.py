@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import math
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docketframe import rules
 from docketframe.functions.clean import clean_content, is_blank
@@ -28,6 +33,66 @@ def merge_parts(*parts: DataFrame) -> DataFrame:
     )
 
 
+#: Rows for which a range of an ordered table is laid out, if there are few.
+RANGE_ROWS = 4096
+
+
+def _sampled(narrow: DataFrame, per_task: int) -> DataFrame:
+    """At most ``per_task`` rows of each task, evenly drawn; ``_w`` is how many rows each stands for."""
+    columns = narrow.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        draw, n = np.random.default_rng(TaskContext.get().partitionId()), 0
+        kept, order = None, np.zeros(0)
+        for batch in batches:
+            n += len(batch)
+            drawn = draw.random(len(batch))
+            if len(order) >= per_task:
+                better = drawn < order.max()
+                batch, drawn = batch.filter(pa.array(better)), drawn[better]
+            both = pa.Table.from_batches([batch]) if kept is None else pa.concat_tables([kept, pa.Table.from_batches([batch])])
+            order = np.concatenate([order, drawn])
+            best = np.argsort(order)[:per_task]
+            kept, order = both.take(pa.array(best)), order[best]
+        if kept is not None and len(kept):
+            yield from kept.append_column("_w", pa.array(np.full(len(kept), n / len(kept)))).combine_chunks().to_batches()
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields)
+    return narrow.mapInArrow(run, f"{kinds}, _w double").select(*columns, "_w")
+
+
+def range_bounds(narrow: DataFrame) -> list[Row]:
+    """Where to cut a table into ranges of about as many rows each, from its sort keys alone.
+
+    What is collected are a few rows of each task, as Spark's own range partitioning does.
+    """
+    spark = narrow.sparkSession
+    most, cores = int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
+    sample = _sampled(narrow, max(40, 20 * most // cores)).orderBy(*narrow.columns).collect()
+    weights = np.cumsum([r["_w"] for r in sample])
+    n = min(most, max(cores, int(weights[-1]) // RANGE_ROWS)) if sample else 1
+    cuts = np.searchsorted(weights, np.arange(1, n) * (weights[-1] / n)) if sample else []
+    return [sample[i] for i in dict.fromkeys(cuts.tolist())] if n > 1 else []
+
+
+def range_of(bounds: Sequence[Row], keys: Sequence[T.StructField]) -> Column:
+    """How many bounds a row's keys reach, found in two steps of a square root's length each."""
+    if not bounds:
+        return F.lit(0)
+    key = F.struct(*[F.col(f.name) for f in keys])
+    points = [F.struct(*[F.lit(b[f.name]).cast(f.dataType).alias(f.name) for f in keys]) for b in bounds]
+
+    def reached(points: Column) -> Column:
+        return F.size(F.filter(points, lambda p: p <= key))
+
+    width = math.isqrt(len(points)) + 1
+    groups = [points[i : i + width] for i in range(0, len(points), width)]
+    if len(groups) == 1:
+        return reached(F.array(*points))
+    group = reached(F.array(*[g[0] for g in groups[1:]]))
+    return group * width + reached(F.get(F.array(*[F.array(*g) for g in groups]), group))
+
+
 def number_rows(
     df: DataFrame,
     order_by: Sequence[str],
@@ -35,25 +100,31 @@ def number_rows(
     start: int = 0,
     then: RowWise = lambda df: df,
     stage_path: str | None = None,
+    place: str | None = None,
 ) -> DataFrame:
     """Number all rows ``start + 1 …`` without gaps, in the order given.
 
     A window over all rows would put them into one task.  Here the rows are
-    range-partitioned and sorted, each task counts its own rows from zero, and
+    dealt to ranges and sorted, each task counts its own rows from zero, and
     what the earlier tasks hold is added.  Rows that tie on ``order_by`` keep
     scan order; that distinct tie-breaker also lets the range boundaries cut
     through a block of equal keys or of copies, however large it is.
 
-    ``then`` (row-wise) runs after the sort, so the sampling pass of the range
-    partitioning does not pay for it; other costly input should be staged.  The ordered
+    The ranges come from a first pass that reads the sort keys only, so the rows as
+    a whole are read and shuffled once.  ``then`` (row-wise) runs after the sort.  The ordered
     table is written once, because numbers must not change when a task is run
     again; the count per task reads one column of it.
+
+    ``place`` names a further column: where in the written table a row stands.  It is the same
+    for rows that one task reads, and grows with the numbers.
     """
     spark = df.sparkSession
     keys = [*order_by, "_tie"]
+    tied = df.withColumn("_tie", F.monotonically_increasing_id())
+    narrow = tied.select(*keys)
+    bounds = range_bounds(narrow)
     ordered = (
-        df.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(*keys)
+        tied.repartitionById(len(bounds) + 1, range_of(bounds, narrow.schema.fields))
         .sortWithinPartitions(*keys)
         .drop("_tie", seq)
         .withColumn("_at", F.monotonically_increasing_id())
@@ -69,10 +140,16 @@ def number_rows(
         base += sizes[t]
     offsets_df = spark.createDataFrame(offsets, "_task bigint, _base bigint")
     row = F.col("_at").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    columns = [c for c in table.columns if c != "_at"]
+    if place:
+        # By task, and by part of its file where that is large enough to be split.
+        part = F.lpad(F.col("_metadata.file_block_start").cast("string"), 15, "0")
+        table = table.withColumn(place, F.concat_ws("_", F.lpad(task.cast("string"), 8, "0"), part))
+        columns.append(place)
     return (
         table.withColumn("_task", task)
         .join(F.broadcast(offsets_df), "_task")
-        .select((F.col("_base") + row + 1).alias(seq), *[c for c in table.columns if c != "_at"])
+        .select((F.col("_base") + row + 1).alias(seq), *columns)
     )
 
 
@@ -100,6 +177,7 @@ def merge_and_clean(
     noise: Sequence[str] = rules.NOISE_PATTERNS,
     then: RowWise = lambda df: df,
     stage_path: str | None = None,
+    place: str | None = None,
 ) -> DataFrame:
     """Parts, one after the other, cleaned and numbered 1 … N.
 
@@ -111,6 +189,7 @@ def merge_and_clean(
         ["part_no", "_in_part"],
         then=lambda df: then(with_clean_body(df, noise)),
         stage_path=stage_path,
+        place=place,
     ).drop("_in_part")
 
 

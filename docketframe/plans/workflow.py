@@ -85,9 +85,9 @@ def post_process(
     text report hold case number, court and date as they were collected; only
     the review has them filled from the text.
     """
-    cases = corpus.merge_and_clean(*parts, noise=noise, then=parsed_beside, stage_path=f"{out}/stage")
+    cases = corpus.merge_and_clean(*parts, noise=noise, then=parsed_beside, stage_path=f"{out}/stage", place=PLACE)
     sinks.write_cases(cases, f"{out}/cases_csv")
-    sinks.write_text_report(cases, f"{out}/cases_text")
+    sinks.write_text_report(cases, f"{out}/cases_text", place=PLACE)
     reviewed = review(cases)
     sinks.write_flattened(reviewed, f"{out}/review_csv")
     sinks.write_review(reviewed, f"{out}/review")
@@ -95,6 +95,7 @@ def post_process(
 
 
 FILLED = ["case_no", "court", "date"]
+PLACE = "_place"
 
 
 def parsed_beside(cases: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from docketframe import schema
 from docketframe.functions.links import file_key
-from docketframe.operators.records import export_table, flattened, text_report
+from docketframe.operators.records import export_table, flattened, report_block, text_report
 from docketframe.session import ship_package
 
 BYTE_ORDER_MARK = "﻿"
@@ -51,16 +51,18 @@ def write_review(df: DataFrame, path: str) -> None:
     export_table(df, schema.REVIEW_COLUMNS).write.mode("overwrite").parquet(path)
 
 
-def write_text_report(df: DataFrame, path: str, seq: str = "seq") -> None:
-    """The text report; its files, in name order, hold the records in order."""
-    (
-        text_report(df, seq)
-        .repartitionByRange(seq)
-        .sortWithinPartitions(seq)
-        .select("value")
-        .write.mode("overwrite")
-        .text(path)
-    )
+def write_text_report(df: DataFrame, path: str, seq: str = "seq", place: str | None = None) -> None:
+    """The text report; its files, in name order, hold the records in order.
+
+    With ``place``, the column that :func:`corpus.number_rows` gives under that name, the
+    rows are in order as they are read, and each task writes a folder of its own; without, they are
+    dealt to ranges first.
+    """
+    if place is None:
+        text_report(df, seq).repartitionByRange(seq).sortWithinPartitions(seq).select("value").write.mode("overwrite").text(path)
+        return
+    rows = df.select(F.col(place).alias("place"), F.col(seq).alias("_seq"), report_block(F.col(seq)).alias("value"))
+    rows.sortWithinPartitions("place", "_seq").drop("_seq").write.mode("overwrite").partitionBy("place").text(path)
 
 
 def write_json_records(df: DataFrame, path: str) -> None:

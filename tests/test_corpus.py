@@ -101,3 +101,49 @@ def test_preview(spark):
     df = spark.createDataFrame([row], "seq int, title string, court string, case_no string, gender string, verdict string, body string")
     got = corpus.preview(df).first()
     assert (got.title, got.gender, got.verdict, got.body_chars) == ("题" * 50 + "...", "(空)", "判" * 60 + "...", 2)
+
+
+KEYS = "a int, b string, c timestamp, v string"
+
+
+@pytest.mark.parametrize("n, partitions", [(0, 4), (1, 4), (3000, 4), (3000, 37), (20_000, 300)])
+def test_numbers_of_mixed_keys_with_nulls_and_ties(spark, n, partitions, monkeypatch):
+    monkeypatch.setattr(corpus, "RANGE_ROWS", 50)
+    df = spark.range(n).selectExpr(
+        "CASE WHEN id % 5 = 0 THEN NULL ELSE cast(id * 7919 % 11 - 5 AS int) END AS a",
+        "CASE WHEN id % 7 = 0 THEN NULL ELSE concat('é', id * 31 % 17, '`\\'') END AS b",
+        "timestamp_seconds(id * 101 % 13) AS c", "cast(id AS string) AS v",
+    )
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        numbered = corpus.number_rows(df.repartition(5), ["a", "b", "c"], place="_place")
+        rows = numbered.orderBy("seq").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert [r.seq for r in rows] == list(range(1, n + 1)) and len({r.v for r in rows}) == n
+    keys = [(r.a is not None, r.a or 0, r.b is not None, r.b or "", r.c) for r in rows]
+    assert keys == sorted(keys) and [r._place for r in rows] == sorted(r._place for r in rows)
+
+
+def test_numbering_reads_wide_rows_once(spark, tmp_path):
+    spark.range(2000).selectExpr("id AS k", "repeat('x', 100) AS body").write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(body):
+        seen.add(1)
+        return body
+
+    # What the rows hold beside the keys is worked out once a row, not for the bounds too.
+    wide = table.withColumn("body", counted("body"))
+    assert corpus.number_rows(wide, ["k"]).count() == 2000
+    assert seen.value == 2000
+
+
+def test_ranges_are_of_one_size(spark, tmp_path):
+    skewed = spark.range(40_000).selectExpr("CASE WHEN id % 2 = 0 THEN 1 ELSE id * id END AS k")
+    corpus.number_rows(skewed, ["k"], stage_path=str(tmp_path / "s"))
+    files = spark.read.parquet(str(tmp_path / "s")).groupBy(F.input_file_name()).count().collect()
+    assert len(files) == 4 and max(r["count"] for r in files) < 12_500

@@ -1,11 +1,12 @@
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from docketframe import schema
 from docketframe.functions.text import body_md5
-from docketframe.operators import records
+from docketframe.operators import corpus, records
 from docketframe.plans import workflow
 from docketframe.sources import sinks, tables
 
@@ -89,6 +90,18 @@ def test_text_report(spark, cases, tmp_path):
     )
 
 
+def test_text_report_in_the_order_of_a_numbered_table(spark, tmp_path):
+    rows = spark.range(3000).selectExpr("(id * 7) % 3000 AS k", "'t' AS title", "'' AS court", "'' AS case_no", "'' AS date", "repeat('b', 50) AS body")
+    numbered = corpus.number_rows(rows, ["k"], place="_place")
+    sinks.write_text_report(numbered, str(tmp_path / "r"), place="_place")
+    files = sorted((tmp_path / "r").glob("*/part-*.txt"))
+    text = "".join(p.read_text() for p in files)
+    assert len(files) > 1
+    assert [int(n) for n in re.findall("【案件 ([0-9]+)】", text)] == list(range(1, 3001))
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "rangepartitioning" not in plan
+
+
 def test_review_table_fills_missing_columns(spark, cases):
     table = records.export_table(cases)
     assert table.columns == schema.REVIEW_HEADERS
