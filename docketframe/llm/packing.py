@@ -32,21 +32,20 @@ CACHED_PIECES = 1_200_000
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
+#: Pieces that are encoded as one text.
+CHAIN = 1000
+
 _SPACE_THEN_SPACE = re.compile(r"\s ")
-_BEFORE_WORD = re.compile(r"(?<=\S) ")
-# A line break at an end of a piece or beside white space.
-_LOOSE_BREAK = re.compile(r"(?:^|\s)\n|\n(?:\s|$)")
-_TAIL = ".,;:!?#%&*$|"
+_BEFORE_WORD = re.compile(r"(?<=\S)(?= )")
 
 
 class WordTokenizer:
     """Token ids of texts, by the ids of their blank-separated pieces.
 
     Byte-level BPE never joins a character and a blank after it, so a text's
-    ids are those of its pieces, each with its leading blank.  Nor does it join
-    a line break with characters on both sides, or a letter or digit and
-    punctuation after it.  Equal pieces are encoded once.  The literal of an
-    added token, like <|endoftext|>, is that token; no piece ends inside it.
+    ids are those of its pieces, each with its leading blank.  Equal pieces are encoded once,
+    many in one text: the bytes that each token stands for show where a piece's ids end.
+    The literal of an added token, like <|endoftext|>, is that token; no piece ends inside it.
     """
 
     def __init__(self, path: str):
@@ -54,40 +53,46 @@ class WordTokenizer:
 
         self.model = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
-
-    def _learn(self, pieces: set[str]) -> None:
-        fresh = list(pieces.difference(self.known))
-        for piece, e in zip(fresh, self.model.encode_batch_fast(fresh, add_special_tokens=False)):
+        vocabulary = self.model.get_vocab(with_added_tokens=True)
+        added = {t.content for t in self.model.get_added_tokens_decoder().values()}
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            # Other tokens are written with one character for each byte.
+            self.sizes[i] = len(token.encode()) if token in added else len(token)
+
+    def _learn_alone(self, pieces: list[str]) -> None:
+        for piece, e in zip(pieces, self.model.encode_batch_fast(pieces, add_special_tokens=False)):
             self.known[piece] = np.array(e.ids, "<u4").tobytes()
 
-    @staticmethod
-    def _stem(part: str) -> list[str]:
-        stem = part.rstrip(_TAIL)
-        return [stem, part[len(stem) :]] if len(stem) < len(part) and stem[-1:].isalnum() else [part]
+    def _learn(self, pieces: set[str]) -> None:
+        chained, alone = [], []
+        for p in pieces:
+            # Only between a character and a blank nothing is joined.
+            (chained if p[:1] == " " and not p[-1].isspace() else alone).append(p)
+        chains = [chained[i : i + CHAIN] for i in range(0, len(chained), CHAIN)]
+        for chain, e in zip(chains, self.model.encode_batch_fast(["".join(c) for c in chains], add_special_tokens=False)):
+            ids = np.array(e.ids, "<u4")
+            ends, stops = np.cumsum(self.sizes[ids]), np.cumsum([len(p.encode()) for p in chain])
+            last = np.searchsorted(ends, stops)
+            if len(ends) and last[-1] == len(ends) - 1 and (ends[last] == stops).all():
+                data, edges = ids.tobytes(), (4 * (last + 1)).tolist()
+                self.known.update(zip(chain, [data[s:e] for s, e in zip([0, *edges], edges)]))
+            else:
+                alone += chain
+        self._learn_alone(alone)
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         if len(self.known) > CACHED_PIECES:
             self.known = {}
-        known, rows = self.known, []
+        rows = []
         for text in texts:
             # Only a blank after another kind of character surely begins a piece.
-            words = _BEFORE_WORD.split(text) if _SPACE_THEN_SPACE.search(text) else text.split(" ")
-            rows.append([words[0], *[f" {w}" for w in words[1:]]])
-        fresh = set().union(*rows).difference(known)
-        cut = {}
-        for piece in fresh:
-            parts = [piece]
-            if "\n" in piece and not _LOOSE_BREAK.search(piece):
-                lines = piece.split("\n")
-                parts = [x for line in lines for x in (line, "\n")][:-1]
-            parts = [x for part in parts for x in self._stem(part)]
-            if len(parts) > 1:
-                cut[piece] = parts
-        self._learn(fresh.difference(cut).union(*cut.values()) if cut else fresh)
-        for piece, parts in cut.items():
-            known[piece] = b"".join([known[x] for x in parts])
-        return [b"".join([known[w] for w in row]) for row in rows]
+            plain = "\0" not in text and not _SPACE_THEN_SPACE.search(text)
+            rows.append(text.replace(" ", "\0 ").split("\0") if plain else _BEFORE_WORD.split(text))
+        self._learn(set().union(*rows).difference(self.known))
+        known = self.known.__getitem__
+        return [b"".join(map(known, row)) for row in rows]
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
