@@ -8,6 +8,7 @@ import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
@@ -85,12 +86,32 @@ def staged(df: DataFrame, path: str | None = None) -> DataFrame:
 
     Cuts the lineage, so nothing above is computed again when several readers
     follow or executors are lost; later reads prune columns.  The folder is
-    the caller's to remove.
+    the caller's to remove (:func:`discard`).
     """
     spark = df.sparkSession
     path = path or new_path(spark, "stage")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+#: Bytes that a table may have to be broadcast.
+BROADCAST_BYTES = 32 << 20
+
+
+def small(df: DataFrame, row_bytes: int) -> DataFrame:
+    """A stored table with a broadcast hint if its rows, of at most ``row_bytes`` each, are few enough; else as it is."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+
+
+def discard(df: DataFrame) -> None:
+    """Remove what :func:`staged` stored of a table that nothing reads any more."""
+    path = getattr(df, "staged_at", None)
+    if path:
+        spark = df.sparkSession
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def spread(df: DataFrame) -> DataFrame:
