@@ -3,52 +3,84 @@
 Built-in expressions and joins only.  Of every run of WINDOW consecutive words the
 k-gram with the least hash is a fingerprint.  A run that a document shares with
 an item has the same least k-gram in both, so joining fingerprints misses no
-shared run of that length.  A hit is then extended: the runs that hold its
-k-gram are compared, as text, with the runs of the items.
+shared run of that length.  Items shorter than a run are fingerprinted whole.
+
+Each text is cut into words once; what goes on is its distinct fingerprints, eight
+bytes each.  Only the texts of documents that share one are read again, and there a hit is
+extended: the runs whose fingerprint it is are compared, as text, with the runs of the items.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from docketframe.session import staged
+
 WINDOW, GRAM = 10, 5
-#: Rows of items' fingerprints or runs that a broadcast may hold; more are shuffled.
-BROADCAST_ROWS = 200_000
+#: Bytes that a broadcast may hold, with some for each row beside its text; more are shuffled.
+BROADCAST_BYTES, ROW_BYTES = 32 << 20, 64
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What a row is known by: two lanes of a hash of doc_id and text.
+KEY = ["k1", "k2"]
 
 
 def words(text: Column) -> Column:
     return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(f"({WORD})"), F.lit(1))
 
 
-def _key() -> Column:
-    return F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), F.coalesce("text", F.lit(""))))
+def _keyed(docs: DataFrame) -> DataFrame:
+    own = [x for c in (F.col("doc_id"), F.col("text")) for x in (c.isNull(), c)]
+    return docs.withColumns({"k1": F.xxhash64(*own), "k2": F.xxhash64(F.lit(1), *own)})
 
 
-def _gram_hashes(words: str, gram: int) -> Column:
-    """Hashes of all k-grams of an array of at least k word hashes."""
-    at = F.sequence(F.lit(0), F.size(words) - gram)
-    return F.transform(at, lambda i: F.xxhash64(*[F.get(F.col(words), i + j) for j in range(gram)]))
+def _gram_hashes(hashes: str, n: int) -> Column:
+    """Hashes of all n-grams of an array of word hashes; null if it has fewer words."""
+    at = F.sequence(F.lit(0), F.size(hashes) - n)
+    return F.when(F.size(hashes) >= n, F.transform(at, lambda i: F.xxhash64(F.lit(n), *[F.get(F.col(hashes), i + j) for j in range(n)])))
 
 
-def _runs(texts: DataFrame, keep: list[str], n: int) -> DataFrame:
-    """All runs of n words, as text, of rows with an array ``words``."""
-    at = F.explode(F.sequence(F.lit(0), F.size("words") - n)).alias("start")
-    return (
-        texts.where(F.size("words") >= n)
-        .select(*keep, "words", at)
-        .select(*keep, "start", F.array_join(F.slice("words", F.col("start") + 1, n), " ").alias("run"))
-    )
+def _with_least(df: DataFrame, window: int, gram: int) -> DataFrame:
+    """Adds ``least``: of each run of ``window`` words, the least k-gram hash; null for shorter texts.
+
+    ``df`` has an array ``hashes`` of word hashes.  The minimum over a run is that of two overlapping
+    stretches whose lengths are powers of two, each of two halves.
+    """
+    others, width = df.columns, window - gram + 1
+
+    def both(one: str, ahead: int) -> Column:
+        return F.zip_with(one, F.slice(one, F.lit(ahead + 1), F.size(one)), lambda x, y: F.least(x, y))
+
+    df, size = df.select("*", _gram_hashes("hashes", gram).alias("m")), 1
+    df = df.withColumn("runs", F.size("m") - width + 1)
+    while 2 * size <= width:
+        df, size = df.withColumn("m", both("m", size)), 2 * size
+    if size < width:
+        df = df.withColumn("m", both("m", width - size))
+    return df.select(*others, F.when(F.col("runs") > 0, F.slice("m", F.lit(1), F.greatest("runs", F.lit(0)))).alias("least"))
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """The table with a broadcast hint if it is known to be small."""
-    few = len(df.select(F.lit(1)).take(BROADCAST_ROWS + 1)) <= BROADCAST_ROWS
-    return F.broadcast(df) if few else df
+def _prints(window: int, lengths: Sequence[int]) -> Column:
+    """at, n, print of all runs of ``window`` words, and of those of other lengths asked for."""
+    kinds = [(F.col("least"), window), *[(_gram_hashes("hashes", n), n) for n in lengths]]
+    empty = F.array().cast("array<struct<at:int,n:int,print:bigint>>")
+
+    def rows(column: Column, n: int) -> Column:
+        placed = F.transform(column, lambda p, i: F.struct(i.alias("at"), F.lit(n).alias("n"), p.alias("print")))
+        return F.coalesce(placed, empty)
+
+    return F.concat(*[rows(column, n) for column, n in kinds])
+
+
+def _small(df: DataFrame, text: str = "''") -> DataFrame:
+    """A stored table with a broadcast hint if its rows, with ``text`` as their only long part, are known to be small."""
+    size = df.agg(F.sum(F.lit(ROW_BYTES) + F.octet_length(F.expr(text)))).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -60,73 +92,49 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
     null item_id marks words but is not listed.  Rows repeated, null doc_id
     included, each give the same row.  No rows give no rows, no items no hits.
     """
-    spark, width = docs.sparkSession, window - gram + 1
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     items = items.select("item_id", words(F.col("text").cast("string")).alias("words")).where(F.size("words") > 0)
-    long_runs = _runs(items, ["item_id"], window)
-    short = items.where(F.size("words") < window).select(
-        "item_id", F.size("words").alias("n"), F.array_join("words", " ").alias("run")
+    hashes = F.transform("words", lambda w: F.xxhash64(w)).alias("hashes")
+
+    # The runs of the items, as text and by fingerprint.
+    n = F.least(F.size("words"), F.lit(window))
+    run_words = F.transform(F.sequence(F.lit(0), F.size("words") - n), lambda i: F.slice("words", i + 1, n))
+    runs = items.select("item_id", n.alias("n"), F.explode(run_words).alias("words"))
+    item_runs = staged(runs.select("item_id", "n", F.array_join("words", " ").alias("run"), "words").distinct())
+    lengths = sorted(r[0] for r in item_runs.where(F.col("n") < window).select("n").distinct().collect())  # below window
+    marked = _with_least(item_runs.select("n", "words", hashes), window, gram)
+    whole = [F.when(F.col("n") == k, _gram_hashes("hashes", k)[0]) for k in lengths]
+    item_prints = _small(staged(marked.select("n", F.coalesce(F.col("least")[0], *whole).alias("print")).distinct()))
+
+    # One pass over all texts.
+    counted = _keyed(docs).select("doc_id", *KEY, words(F.col("text")).alias("words")).select(
+        "doc_id", *KEY, F.size("words").cast("bigint").alias("n_words"), hashes
     )
-    item_runs = long_runs.select("item_id", "run", F.lit(window).alias("n")).unionByName(short).distinct()
-
-    hashed = docs.select(_key().alias("key"), F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("hashes"))
-    # A filter here would be pushed below and split every text twice.
-    enough = F.size("hashes") >= window
-    grams = hashed.select("key", F.when(enough, _gram_hashes("hashes", gram)).alias("grams"))
-    # The least gram of each run; a gram is kept if it is the least of a run it is in.
-    least = grams.select(
-        "key", "grams",
-        F.when(
-            F.col("grams").isNotNull(),
-            F.transform(F.sequence(F.lit(1), F.size("grams") - width + 1), lambda i: F.array_min(F.slice("grams", i, width))),
-        ).alias("least"),
+    least = _with_least(counted, window, gram)
+    empty = F.array().cast("array<bigint>")
+    distinct = F.array_distinct(F.concat(*[F.coalesce(c, empty) for c in (F.col("least"), *[_gram_hashes("hashes", k) for k in lengths])]))
+    base = staged(least.select("doc_id", *KEY, "n_words", distinct.alias("prints")))
+    near = base.select(*KEY, F.explode("prints").alias("print")).join(item_prints, "print", "left_semi").select(KEY).distinct()
+
+    # The texts of the few documents that share a fingerprint.
+    texts = _keyed(docs).join(_small(staged(near)), KEY, "left_semi").dropDuplicates(KEY).select(*KEY, words(F.col("text")).alias("words"))
+    texts = staged(texts)
+    all_prints = _with_least(texts.select(*KEY, hashes), window, gram).select(*KEY, F.inline(_prints(window, lengths)))
+    places = all_prints.join(item_prints, ["print", "n"], "left_semi").groupBy(KEY).agg(F.collect_list(F.struct("at", "n")).alias("places"))
+    extended = F.transform(
+        "places", lambda p: F.struct(p["at"].alias("start"), p["n"].alias("n"), F.array_join(F.slice("words", p["at"] + 1, p["n"]), " ").alias("run"))
     )
-    runs = F.size("least")
-    chosen = F.filter(
-        F.transform("grams", lambda g, i: F.struct(i.alias("at"), g.alias("print"))),
-        lambda x: F.array_max(
-            F.slice(
-                "least",
-                F.greatest(x["at"] - width + 1, F.lit(0)) + 1,
-                F.least(x["at"], runs - 1) - F.greatest(x["at"] - width + 1, F.lit(0)) + 1,
-            )
-        )
-        == x["print"],
-    )
-    prints = least.select("key", F.inline(chosen))
-    item_prints = (
-        long_runs.select(F.transform(F.split("run", " "), lambda w: F.xxhash64(w)).alias("hashes"))
-        .select(F.array_min(_gram_hashes("hashes", gram)).alias("print"))
-        .distinct()
-    )
-    hits = prints.join(_small(item_prints), "print", "left_semi")
-    places = hits.groupBy("key").agg(F.collect_set("at").alias("places"))
+    candidates = texts.join(places, KEY).select(*KEY, F.inline(extended))
+    shared = staged(candidates.join(_small(item_runs.drop("words"), "run"), ["run", "n"]).select(*KEY, "start", "n", "item_id").distinct())
 
-    keyed = docs.select(_key().alias("key"), "text").join(places, "key").dropDuplicates(["key"])
-    spread = keyed.select("key", words(F.col("text")).alias("words"), "places")
-    starts = F.array_distinct(
-        F.flatten(F.transform("places", lambda p: F.sequence(F.greatest(p - width + 1, F.lit(0)), p)))
-    )
-    candidates = (
-        spread.select("key", "words", F.explode(starts).alias("start"))
-        .where(F.col("start") + window <= F.size("words"))
-        .select("key", "start", F.lit(window).alias("n"), F.array_join(F.slice("words", F.col("start") + 1, window), " ").alias("run"))
-    )
-    # Items shorter than a window: at most window - 1 lengths.
-    for n in sorted(r[0] for r in short.select("n").distinct().collect()):
-        whole = docs.select(_key().alias("key"), words(F.col("text")).alias("words"))
-        candidates = candidates.unionByName(_runs(whole, ["key"], n).withColumn("n", F.lit(n)))
-    shared = candidates.join(_small(item_runs), ["run", "n"]).select("key", "start", "n", "item_id").distinct()
-
-    in_order = Window.partitionBy("key").orderBy("start", "end")
-    spans = shared.select("key", "start", (F.col("start") + F.col("n")).alias("end")).distinct()
+    in_order = Window.partitionBy(KEY).orderBy("start", "end")
+    spans = shared.select(*KEY, "start", (F.col("start") + F.col("n")).alias("end")).distinct()
     reached = F.coalesce(F.max("end").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     new = F.greatest(F.lit(0), F.col("end") - F.greatest(F.col("start"), reached))
-    n_hit = spans.withColumn("new", new).groupBy("key").agg(F.sum("new").alias("n_hit"))
-    of = shared.groupBy("key").agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
+    n_hit = spans.withColumn("new", new).groupBy(KEY).agg(F.sum("new").alias("n_hit"))
+    of = shared.groupBy(KEY).agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
 
-    base = docs.select("doc_id", _key().alias("key"), F.size(words(F.col("text"))).cast("bigint").alias("n_words"))
-    out = base.join(n_hit.join(of, "key"), "key", "left")
+    out = base.select("doc_id", *KEY, "n_words").join(_small(staged(n_hit.join(of, KEY)), "array_join(items, ',')"), KEY, "left")
     ids = F.sort_array(F.coalesce("items", F.array().cast("array<string>")))
     return out.select(
         "doc_id",
