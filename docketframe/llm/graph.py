@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketframe.session import staged
+from docketframe.session import discard, staged
 
 
 def component_labels(links: DataFrame) -> DataFrame:
@@ -28,6 +28,7 @@ def component_labels(links: DataFrame) -> DataFrame:
         # Stars: no node hangs on two others, none that others hang on hangs itself.
         counts = after.agg(F.count("*"), F.countDistinct("a")).first()
         settled = counts[0] == counts[1] and after.join(after.select(F.col("b").alias("a")).distinct(), "a", "left_semi").isEmpty()
+        discard(edges)
         edges = after
         if settled:
             break

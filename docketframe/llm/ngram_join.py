@@ -24,15 +24,18 @@ from pyspark.sql import functions as F
 
 from docketframe.llm import arrays, shared_keys
 from docketframe.llm.graph import component_labels
-from docketframe.session import staged
+from docketframe.session import discard, small, staged
 
 #: Cells of the suffix filter.
 CELLS = np.arange(1, 32, dtype=np.uint64) << np.uint64(59)
 #: Posting lists led by up to this many sets are joined as they are; others go by hubs first.
 SHORT_LIST = 12
-#: Members of a long list that are compared with all others in one round.
+#: Members of a long list that are compared with all others in the first round.
 HUBS = 8
 
+#: Bytes of a row of ids, of a list, of a class, at most, where a table of them may be broadcast.
+ID_BYTES, LIST_BYTES, CLASS_BYTES = 16, 40, 64
+
 SETS = "doc_id long, n_shingles long, signature binary, tokens array<long>, places array<int>, members binary"
 
 
@@ -121,8 +124,9 @@ def _may_reach(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
 
 def _verified(pairs: DataFrame, members: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs whose sets reach the threshold."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    picked = members.join(ends, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    # Ids go to the sets, so that of these only the ones wanted are shuffled.
+    ends = small(staged(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()), ID_BYTES)
+    picked = members.join(ends, "doc_id", "left_semi")
     left = picked.select(F.col("doc_id").alias("a"), F.col("members").alias("set_a"))
     right = picked.select(F.col("doc_id").alias("b"), F.col("members").alias("set_b"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b")
@@ -162,7 +166,7 @@ _USEFUL = "leads OR reach >= least"
 def _lists(posts: DataFrame) -> DataFrame:
     """Lists that have a leader: token, size, leaders, and the least size of a leading set."""
     least = F.min(F.when(F.col("leads"), F.col("n_shingles"))).alias("least")
-    lists = posts.drop("size", "leaders").groupBy("token").agg(F.count("*").alias("size"), F.count_if("leads").alias("leaders"), least)
+    lists = posts.groupBy("token").agg(F.count("*").alias("size"), F.count_if("leads").alias("leaders"), least)
     return lists.where("leaders > 0")
 
 
@@ -178,20 +182,28 @@ def links(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, connect_on
     sets = staged(_sets(docs, n, num, den))
     near = sets.where("signature IS NOT NULL AND doc_id IS NOT NULL")
     classes = staged(near.groupBy("signature").agg(F.min("doc_id").alias("class_id")))
+    leading = small(classes.withColumnRenamed("class_id", "doc_id"), CLASS_BYTES)
+    one = near.join(leading, ["signature", "doc_id"], "left_semi")
     # A doc_id that several rows with equal texts have is one class all the same.
-    one = near.join(classes.withColumnRenamed("class_id", "doc_id"), ["signature", "doc_id"], "left_semi")
-    members = one.select("doc_id", "members")
-    posts = (
-        one.select("doc_id", "n_shingles", F.explode(F.arrays_zip("tokens", "places")).alias("t"))
-        .select("doc_id", "n_shingles", F.col("t.tokens").alias("token"), F.col("t.places").alias("place"))
-        .dropDuplicates(["token", "doc_id"])
+    again = staged(one.groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    if not again.isEmpty():
+        few = small(again, ID_BYTES)
+        one = one.join(few, "doc_id", "left_anti").unionByName(one.join(few, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    posts = one.select("doc_id", "n_shingles", F.explode(F.arrays_zip("tokens", "places")).alias("t")).select(
+        "doc_id", "n_shingles", F.col("t.tokens").alias("token"), F.col("t.places").alias("place")
     )
     # The smaller set of a pair needs num / (num + den) of both sizes, so of twice its own at least.
     # ``reach``: the largest size of a smaller set with which what stands from here on can be enough.
     posts = posts.withColumn("reach", F.expr(f"((n_shingles - place) * {num + den} - {num} * n_shingles) div {num}"))
     posts = posts.withColumn("leads", F.col("reach") >= F.col("n_shingles")).withColumn("label", F.col("doc_id"))
-    posts = posts.join(_lists(posts), "token").where(_USEFUL).drop("size", "leaders", "least")
-    posts = staged(posts.join(_lists(posts).drop("least").where("size > 1"), "token"))
+    # Before anything is joined, lists of one or without a leader are left out.
+    first = staged(_lists(posts).where("size > 1").select("token", "least"))
+    useful = staged(posts.join(small(first, LIST_BYTES), "token").where(_USEFUL).drop("least"))
+    lists = staged(_lists(useful).where("size > 1").select("token", "size", "leaders"))
+    posts = staged(useful.join(small(lists, LIST_BYTES), "token"))
+    # Sets that stand in no list need not be compared with any.
+    listed = small(staged(posts.select("doc_id").distinct()), ID_BYTES)
+    members = staged(one.join(listed, "doc_id", "left_semi").select("doc_id", "members"))
     bound = f"leaders <= {SHORT_LIST}"
     short = posts.where(bound) if connect_only else posts
     open_posts = posts.where(f"NOT ({bound})").drop("leaders")
@@ -203,21 +215,28 @@ def links(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, connect_on
             # A list whose members are all connected has nothing left to test.
             now = open_posts.drop("label").join(labels, open_posts["doc_id"] == labels["node"], "left")
             now = now.withColumn("label", F.coalesce("label", "doc_id")).drop("node", "size")
-            now = staged(now.join(_lists(now).select("token", "least"), "token").where(_USEFUL).drop("least"))
-            by_label = now.groupBy("token", "label").agg(F.count("*").alias("own"), F.count_if("leads").alias("own_leaders"))
+            all_now = staged(now.join(_lists(now).select("token", "least"), "token").where(_USEFUL).drop("least"))
+            by_label = all_now.groupBy("token", "label").agg(F.count("*").alias("own"), F.count_if("leads").alias("own_leaders"))
             per = by_label.groupBy("token").agg(F.sum("own").alias("size"), F.sum("own_leaders").alias("leaders"), F.count("*").alias("kinds"))
             per = staged(per.where("kinds > 1 AND leaders > 0").select("token", "size"))
-            now = staged(now.join(per, "token"))
+            now = staged(all_now.join(per, "token"))
             cross = by_label.join(per, "token").agg(F.sum("own"), F.sum(F.col("own_leaders") * (F.col("size") - F.col("own")))).first()
+            for done in (open_posts, all_now, per):
+                discard(done)
             if cross[0] is None:
                 break
-            last = cross[1] <= 2 * HUBS * cross[0]
-            hubs = now.where("leads") if last else _hubs(now.where("leads"), turn)
+            # Twice as many each time, so that rounds grow with the logarithm of the longest list.
+            n_hubs = HUBS << turn
+            last = cross[1] <= 2 * n_hubs * cross[0]
+            hubs = now.where("leads") if last else _hubs(now.where("leads"), turn, n_hubs)
             # A pair with two leaders of one size would come twice; it is made distinct below.
             candidates = _pairs(hubs, now, "x <> y AND n_x <= n_y AND label_x <> label_y")
             fresh = staged(_filtered(candidates, num, den).join(tested, ["a", "b"], "left_anti"))
             true = staged(_verified(fresh, members, num, den))
+            before = (found, tested, fresh, true)
             found, tested = staged(found.unionByName(true)), staged(tested.unionByName(fresh))
+            for done in before:
+                discard(done)
             if last:
                 break
             # A hub has met all the list; it stays as one that others lead to.
@@ -225,16 +244,17 @@ def links(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, connect_on
             open_posts = staged(
                 now.join(gone, ["token", "doc_id"], "left").withColumn("leads", F.coalesce("still", "leads")).drop("still")
             )
+            discard(now)
             labels = component_labels(found)
     table = sets.select("doc_id", "n_shingles", "signature").join(classes, "signature", "left")
     return table.select("doc_id", "n_shingles", "class_id"), found
 
 
-def _hubs(posts: DataFrame, turn: int) -> DataFrame:
-    """A few members of each list, those most like the others first, by partial aggregation."""
+def _hubs(posts: DataFrame, turn: int, n: int) -> DataFrame:
+    """At most ``n`` members of each list, those most like the others first, by partial aggregation."""
     # A set with few n-grams of its own, whose shared ones come early, is near the middle of its group.
     row = F.struct(F.col("place").alias("h"), F.hash("doc_id", F.lit(turn)).alias("i"), *[F.col(c) for c in ("doc_id", "n_shingles", "place", "label")])
-    salted = posts.withColumn("salt", F.pmod(F.hash("doc_id"), F.lit(HUBS)))
+    salted = posts.withColumn("salt", F.pmod(F.hash("doc_id"), F.lit(n)))
     best = salted.groupBy("token", "salt").agg(F.min(row).alias("r"))
     return best.select("token", "r.*")
 
