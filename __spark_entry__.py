@@ -243,6 +243,21 @@ def json_array_records(spark, sf_dir):
     return blocks.read_json_array(spark, path, schema.CASE, corrupt="unread")
 
 
+def whole_text_files(spark, sf_dir):
+    """Each document in a file of its own, read back whole."""
+    path = new_path(spark, "text_files")
+    documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).write.partitionBy("doc_id").text(path)
+    doc_id = F.regexp_extract("path", "doc_id=([0-9]+)", 1).cast("bigint")
+    return tables.read_documents(spark, path).select(doc_id.alias("doc_id"), text.body_md5(F.col("body")).alias("body_md5"))
+
+
+def clock(spark, sf_dir):
+    """The clock's two forms, as far as two runs can agree on them."""
+    now = F.to_timestamp(text.current_time_text())
+    apart = F.abs(F.unix_millis(now) - text.current_millis())
+    return read(spark, sf_dir, "region").select("r_regionkey", (apart < 1000).cast("int").alias("same_second"))
+
+
 def page_store(spark, sf_dir):
     details = tables.read_pages(spark, f"{sf_dir}/pages.parquet").select(
         F.lit("").alias("case_no"), F.col("page_id").alias("index"), F.col("html").alias("html_content")
@@ -590,6 +605,8 @@ def queries() -> dict[str, Query]:
         "csv_blocks": csv_blocks,
         "json_round_trip": json_round_trip,
         "json_array_records": json_array_records,
+        "whole_text_files": whole_text_files,
+        "clock": clock,
         "page_store": page_store,
         "page_body_chain": page_body_chain,
         "page_detail_chain": page_detail_chain,
