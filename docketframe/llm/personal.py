@@ -83,11 +83,27 @@ _LOOKALIKES = dict(
         strict=True,
     )
 )
-# Full-width forms and mathematical digits, by rule.
-_LOOKALIKES |= {chr(0xFF01 + i): chr(0x21 + i) for i in range(94)}
-_LOOKALIKES |= {chr(c): unicodedata.normalize("NFKC", chr(c)) for c in range(0x1D7CE, 0x1D800)}
+# Forms of Latin letters, digits and signs, by rule: letterlike and circled ones, full-width and mathematical ones.
+_FORMS = [*range(0x20A0, 0x2500), *range(0xFF01, 0xFF5F), *range(0x1D400, 0x1D800), *range(0x1F110, 0x1F16A)]
+_PLAIN = {chr(c): unicodedata.normalize("NFKC", chr(c)) for c in _FORMS}
+_LOOKALIKES |= {c: plain for c, plain in _PLAIN.items() if len(plain) == 1 and "!" <= plain <= "~"}
+# Full stops of other scripts.
+_LOOKALIKES |= dict.fromkeys("․。｡．", ".")
 _INVISIBLE = "​‌‍⁠﻿­"
-_STRANGE = re.compile("[" + "".join(map(re.escape, [*_LOOKALIKES, *_INVISIBLE])) + "]")
+
+
+def _char_class(chars: str) -> str:
+    """A class of characters, written as ranges: single ones beyond U+FFFF are compared one by one."""
+    runs: list[list[int]] = []
+    for c in sorted(map(ord, chars)):
+        if runs and c == runs[-1][1] + 1:
+            runs[-1][1] = c
+        else:
+            runs.append([c, c])
+    return "[" + "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" for a, b in runs) + "]"
+
+
+_STRANGE = re.compile(_char_class("".join([*_LOOKALIKES, *_INVISIBLE])))
 _DIGIT_WORDS = "zero one two three four five six seven eight nine".split()
 _DIGITS = {w: str(i) for i, w in enumerate(_DIGIT_WORDS)}
 _SPELLED = re.compile(rf"\b(?:{'|'.join(_DIGIT_WORDS)})\b", re.I)
@@ -99,7 +115,15 @@ _BRACKETED = r"\x20?[(\[{{<]\x20?(?:{})\x20?[)\]}}>]\x20?"
 _AT = rf"(?:{_BRACKETED.format('at|@')}|\x20at\x20|\x20?@\x20?)"
 _DOT_WORD = rf"{_BRACKETED.format(r'dot|\.')}|\x20dot\x20"
 _DOT = rf"(?:{_DOT_WORD}|\.)"
-_DISGUISED = re.compile(rf"(?<![A-Za-z0-9_%+-])[A-Za-z0-9_%+-]++(?:{_DOT}[A-Za-z0-9_%+-]++){{0,4}}({_AT})[A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]++)+", re.I)
+_AT_SIGN = re.compile(_AT, re.I)
+# What every such sign holds, quick to find, and the characters that may stand before it.
+_SIGN_CORE = re.compile(r"@|(?<=[\x20(\[{<])[Aa][Tt](?=[\x20)\]}>])")
+_BEFORE_CORE = 3
+_LOCAL_LABEL = frozenset(_LOCAL - {"."})
+_HIDDEN_DOMAIN = re.compile(rf"[A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]++)+", re.I)
+_DOT_BEFORE = re.compile(rf"(?:{_DOT})\Z", re.I)
+#: Characters of the longest form of a dot.
+_DOT_CHARS = 9
 _DOT_SIGN = re.compile(_DOT, re.I)
 _DIGIT_DOT = re.compile(rf"(?<=[0-9])(?:{_DOT_WORD})(?=[0-9])", re.I)
 # Every form of a sign that is rewritten holds one of these, in lower case.
@@ -155,13 +179,55 @@ def _signs(w: Written, lower: str) -> Written:
         return w
     w = w.rewrite([(m.start(), m.end(), ".") for m in _DIGIT_DOT.finditer(w.text)])
     edits = []
-    for m in _DISGUISED.finditer(w.text):
-        marks = [(m.start(1), m.end(1), "@")]
-        marks += [(d.start(), d.end(), ".") for d in _DOT_SIGN.finditer(w.text, m.start(), m.end()) if not m.start(1) <= d.start() < m.end(1)]
+    for start, at, end in _addresses(w.text):
+        marks = [(at.start(), at.end(), "@")]
+        marks += [(d.start(), d.end(), ".") for part in ((start, at.start()), (at.end(), end)) for d in _DOT_SIGN.finditer(w.text, *part)]
         edits += [x for x in sorted(marks) if w.text[x[0] : x[1]] != x[2]]
     return w.rewrite(edits)
 
 
+def _local_start(text: str, end: int, least: int) -> int:
+    """Where the local part that ends at ``end`` starts: labels with dots, disguised or not, between them."""
+    start = at = end
+    while True:
+        while at > least and text[at - 1] in _LOCAL_LABEL:
+            at -= 1
+        if at == start:
+            return start  # no label before what was taken for a dot
+        start = at
+        dot = _DOT_BEFORE.search(text, max(least, start - _DOT_CHARS), start)
+        if not dot:
+            return start
+        at = dot.start()
+        if at == least or text[at - 1] not in _LOCAL_LABEL:
+            return start
+
+
+def _named(domain: str) -> bool:
+    """Whether what stands after a plain "at" reads as a host: its last label is a word of two letters or more, not the
+    start of a sentence, or it is an address of four numbers."""
+    labels = _DOT_SIGN.split(domain)
+    last = labels[-1]
+    if last.isalpha():
+        return len(last) > 1 and not last.istitle()
+    return len(labels) == 4 and all(x.isdigit() and len(x) < 4 and int(x) < 256 for x in labels)
+
+
+def _addresses(text: str) -> Iterator[tuple[int, re.Match, int]]:
+    """(start, the sign, end) of what is an address once its signs are rewritten, found from each sign."""
+    least = 0
+    for core in _SIGN_CORE.finditer(text):
+        if core.start() < least:
+            continue
+        places = range(max(least, core.start() - _BEFORE_CORE), core.start() + 1)
+        sign = next((m for m in (_AT_SIGN.match(text, i) for i in places) if m and m.end() >= core.end()), None)
+        start = _local_start(text, sign.start(), least) if sign else 0
+        domain = _HIDDEN_DOMAIN.match(text, sign.end()) if sign and start < sign.start() else None
+        if domain and (sign[0].strip().lower() != "at" or _named(domain[0])):
+            yield start, sign, domain.end()
+            least = domain.end()
+
+
 def deobfuscated(text: str) -> Written | None:
     """The text with disguises undone; None if there is none."""
     plain = Written(text)
