@@ -9,13 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketframe.llm import decontaminate, ngram_join, packing, personal, quality_rules
-from docketframe.session import ship_package, staged
+from docketframe.session import ship_package, small, staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 #: Names a row within a stage: rows that a stage reads alike share it, and no others but by chance (64 bits).
 KEY = "_row_key"
+#: Bytes of a row of keys, at most, where a table of them may be broadcast.
+KEY_BYTES = 16
 
 
 def _keyed(docs: DataFrame, *read: str) -> DataFrame:
@@ -30,8 +32,8 @@ def _by_key(keyed: DataFrame) -> DataFrame:
 
 
 def _without(keyed: DataFrame, gone: DataFrame) -> DataFrame:
-    """Rows whose key is not in ``gone``."""
-    return keyed.join(gone.select(KEY), KEY, "left_anti")
+    """Rows whose key is not in ``gone``; where these are few, texts stay where they are."""
+    return keyed.join(small(staged(gone.select(KEY)), KEY_BYTES), KEY, "left_anti")
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +60,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     unlike = _without(keyed, members.join(kept, KEY, "left_anti"))
     # A row given twice is a group as well.
     twice = members.where("rows > 1").select(KEY)
-    again = unlike.join(twice, KEY, "left_semi").dropDuplicates([KEY])
+    again = unlike.join(small(staged(twice), KEY_BYTES), KEY, "left_semi").dropDuplicates([KEY])
     return _without(unlike, twice).unionByName(again).select(docs.columns)
 
 
