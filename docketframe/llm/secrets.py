@@ -23,30 +23,42 @@ ASSIGN = (
 ACCESS = r"(AKIA[A-Z0-9]+)"
 HEX = r"([0-9a-f]{24,})"
 # Weak parts.
-IDENT = r"""(?:access|client|account|user|key)_?(?:id|name)["']?\x20*[:=]\x20*["']?([A-Za-z0-9._@-]{3,})"""
+IDENT = (
+    r"(?:[Aa][Cc][Cc][Ee][Ss][Ss]|[Cc][Ll][Ii][Ee][Nn][Tt]|[Aa][Cc][Cc][Oo][Uu][Nn][Tt]|[Uu][Ss][Ee][Rr]|[Kk][Ee][Yy])_?(?:[Ii][Dd]|[Nn][Aa][Mm][Ee])"
+    r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9._@-]{3,})"""
+)
 KEY = r"([A-Za-z0-9+/]{32,})"
-ENDPOINT = r"(https?://[A-Za-z0-9.-]+(?::[0-9]+)?)"
+ENDPOINT = r"((?:https?|ftps?|sftp|ssh|wss?|s3|smtps?|imaps?|ldaps?|amqps?|rediss?|mysql|mongodb|postgres|postgresql)://[A-Za-z0-9.-]+(?::[0-9]+)?)"
 
 #: kind, pattern, least length of group 1
 STRONG = (("assign", ASSIGN, 6), ("access", ACCESS, 20), ("hex", HEX, 24))
 WEAK = (("ident", IDENT, 3), ("secret", KEY, 32), ("endpoint", ENDPOINT, 8))
 KINDS = [k for k, _, _ in STRONG + WEAK]
 IDENTIFIERS, SECRETS = ("access", "ident"), ("assign", "hex", "secret")
+#: Matches that are folded into one array at a time.
+STRETCH = 128
 #: Code points between the starts of parts that belong together.
 SCOPE = 400
 
 SPAN = "struct<start: bigint, kind: int, end: bigint>"
 
 
-def _spans(text: Column, kind: str, pattern: str, least: int) -> Column:
-    """Spans of all matches whose group 1 is long enough, by the lengths of matches and of what stands between."""
+def _matches(text: Column, pattern: str) -> Column:
+    """Of each match, the length of the text before it, its own and its group; the last row has no match.  Null if there is none."""
     p = F.lit(pattern)
-    # Texts between matches, matches, groups; the last text has no match.
     rows = F.arrays_zip(
         F.transform(F.split(text, pattern, -1), F.length).alias("gap"),
         F.transform(F.regexp_extract_all(text, p, F.lit(0)), F.length).alias("hit"),
         F.regexp_extract_all(text, p, F.lit(1)).alias("value"),
     )
+    return F.when(text.rlike(pattern), rows)
+
+
+def _folded(rows: str, kind: str, least: int) -> Column:
+    """For each stretch of ``STRETCH`` matches: its length, and the spans in it whose group is long enough, from its start.
+
+    An array grows by one at the cost of all of it, so it is kept to a stretch.
+    """
     number = KINDS.index(kind)
 
     def step(acc: Column, x: Column) -> Column:
@@ -59,8 +71,21 @@ def _spans(text: Column, kind: str, pattern: str, least: int) -> Column:
         return F.struct(end.alias("at"), F.when(good, F.array_append(acc["out"], span)).otherwise(acc["out"]).alias("out"))
 
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
-    found = F.aggregate(rows, start, step, lambda acc: acc["out"])
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(f"array<{SPAN}>"))
+    at = F.sequence(F.lit(0), F.size(rows) - 1, F.lit(STRETCH))
+    return F.when(F.size(rows) > 0, F.transform(at, lambda i: F.aggregate(F.slice(rows, i + 1, F.lit(STRETCH)), start, step)))
+
+
+def _spans(folded: str) -> Column:
+    """All spans of a text, from those of its stretches and where each stretch starts."""
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<bigint>").alias("out"))
+    starts = F.aggregate(
+        folded, start, lambda acc, x: F.struct((acc["at"] + x["at"]).alias("at"), F.array_append(acc["out"], acc["at"]).alias("out")), lambda acc: acc["out"]
+    )
+
+    def moved(stretch: Column, by: Column) -> Column:
+        return F.transform(stretch["out"], lambda s: F.struct((s["start"] + by).alias("start"), s["kind"].alias("kind"), (s["end"] + by).alias("end")))
+
+    return F.coalesce(F.flatten(F.zip_with(folded, starts, moved)), F.array().cast(f"array<{SPAN}>"))
 
 
 def _written(spans: Column) -> Column:
@@ -80,8 +105,11 @@ def find_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     read = docs.select(F.col("doc_id"), text.alias("text"))
-    spans = {k: _spans(F.col("text"), k, p, n) for k, p, n in STRONG + WEAK}
-    found = read.select("doc_id", "text", *[s.alias(k) for k, s in spans.items()])
+    kinds = STRONG + WEAK
+    # Step by step, since each is read several times by the next.
+    found = read.select("doc_id", "text", *[_matches(F.col("text"), p).alias(k) for k, p, _ in kinds])
+    found = found.select("doc_id", "text", *[_folded(k, k, n).alias(k) for k, _, n in kinds])
+    found = found.select("doc_id", "text", *[_spans(k).alias(k) for k, _, _ in kinds])
     # Equal rows share a key and an answer; rows without weak parts need none.
     key = F.when(
         F.size("ident") + F.size("secret") + F.size("endpoint") > 0,
