@@ -13,6 +13,7 @@ import io
 import struct
 import uuid
 from collections.abc import Iterator
+from datetime import datetime, timezone
 
 import pyarrow as pa
 import pyarrow.fs
@@ -33,7 +34,12 @@ _SKIPPABLE, _SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 _EOL = b"\r\n"
 
 INDEX = "bundle string, page_id long, frame int, frame_start long, frame_size long, record_start long, record_size long"
-RECORD = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, stored_digest string"
+RECORD = (
+    "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, "
+    "stored_bytes long, stored_digest string"
+)
+#: What precedes a payload in a response's block.
+HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 
 
 def _files(uri: str) -> tuple[pa.fs.FileSystem, str]:
@@ -67,22 +73,31 @@ def _header_text(value: str) -> str:
     return value.replace("\r", "%0D").replace("\n", "%0A")
 
 
-def record(page_id: int | None, url: str | None, digest: str, size: int, refers_to: int | None, payload: bytes | None) -> bytes:
-    """One record; ``payload`` None: a revisit of ``refers_to``."""
-    content = payload or b""
-    lines = [
-        "WARC/1.1",
-        f"WARC-Type: {'response' if payload is not None else 'revisit'}",
-        f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>",
-        f"WARC-Payload-Digest: sha256:{digest}",
-        f"X-Payload-Length: {size}",
-    ]
+def _headed(kind: str, date: str, lines: list[str], content: bytes) -> bytes:
+    own = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <{uuid.uuid4().urn}>", f"WARC-Date: {date}", *lines, f"Content-Length: {len(content)}"]
+    return _EOL.join(x.encode() for x in own) + _EOL * 2 + content + _EOL * 2
+
+
+def information(date: str) -> bytes:
+    """The record that a bundle begins with."""
+    content = b"software: docketframe\r\nformat: WARC File Format 1.1\r\n"
+    return _headed("warcinfo", date, ["Content-Type: application/warc-fields"], content)
+
+
+def record(page_id: int | None, url: str | None, digest: str, size: int, refers_to: int | None, payload: bytes | None, date: str) -> bytes:
+    """One record; ``payload`` None: a revisit of the page ``refers_to``.
+
+    Ids of records are new ones; ids of pages have headers of their own.
+    """
+    lines = ["Content-Type: application/http; msgtype=response", f"WARC-Payload-Digest: sha256:{digest}", f"X-Payload-Length: {size}"]
+    if page_id is not None:
+        lines.append(f"X-Page-ID: {page_id}")
     if url is not None:
         lines.append(f"WARC-Target-URI: {_header_text(url)}")
     if payload is None:
-        lines += [f"WARC-Refers-To: <urn:page:{refers_to}>", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
-    lines.append(f"Content-Length: {len(content)}")
-    return _EOL.join(x.encode() for x in lines) + _EOL * 2 + content + _EOL * 2
+        lines += [f"X-Refers-To-Page-ID: {refers_to}", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
+        return _headed("revisit", date, lines, b"")
+    return _headed("response", date, lines, HTTP_HEAD % len(payload) + payload)
 
 
 def records(data: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
@@ -100,12 +115,13 @@ def records(data: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
 class _Bundle:
     """A bundle as it is written; complete once closed."""
 
-    def __init__(self, folder: str):
+    def __init__(self, folder: str, date: str):
         self.uri = f"{folder}/{uuid.uuid4().hex}.warc.zst"
         fs, path = _files(self.uri)
         fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
         self.file, self.frames, self.size = fs.open_output_stream(path, compression=None), [], 0
         self.open, self.held, self.index = io.BytesIO(), [], []
+        self.open.write(information(date))
 
     def add(self, page_id, data: bytes) -> None:
         self.held.append((page_id, self.open.tell(), len(data)))
@@ -159,6 +175,8 @@ def write_archive(pages: DataFrame, folder: str) -> DataFrame:
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id"))
     rows = with_first.select("page_id", "url", F.coalesce("shared", digest).alias("digest"), refers.alias("refers_to"), _payload().alias("payload"))
 
+    date = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+
     def write(source):
         bundle, names = None, [c.split()[0] for c in INDEX.split(", ")]
 
@@ -170,8 +188,8 @@ def write_archive(pages: DataFrame, folder: str) -> DataFrame:
 
         for batch in source:
             for page_id, url, digest, refers_to, payload in zip(*(batch[c].to_pylist() for c in ("page_id", "url", "digest", "refers_to", "payload"))):
-                bundle = bundle or _Bundle(folder)
-                bundle.add(page_id, record(page_id, url, digest, len(payload), refers_to, payload if refers_to is None else None))
+                bundle = bundle or _Bundle(folder, date)
+                bundle.add(page_id, record(page_id, url, digest, len(payload), refers_to, payload if refers_to is None else None, date))
                 if bundle.size >= BUNDLE_BYTES:
                     yield out(bundle.close())
                     bundle = None
@@ -182,7 +200,11 @@ def write_archive(pages: DataFrame, folder: str) -> DataFrame:
 
 
 def read_archive(index: DataFrame) -> DataFrame:
-    """All records of the bundles of an index, as rows; ``stored_digest`` is null for revisits."""
+    """All records of the bundles of an index, as rows, a task for each bundle.
+
+    ``payload_bytes`` and ``payload_digest`` are what a record says of its payload; ``stored_bytes`` and
+    ``stored_digest`` are taken from the content, and null for revisits, which have none.
+    """
 
     def read(source):
         names = [c.split()[0] for c in RECORD.split(", ")]
@@ -194,27 +216,34 @@ def read_archive(index: DataFrame) -> DataFrame:
                     for start, packed, plain in read_seek_table(file):
                         file.seek(start)
                         data = zstandard.ZstdDecompressor().decompress(file.read(packed), max_output_size=plain)
-                        found = [_row(h, content) for _, _, h, content in records(data)]
+                        found = [_row(h, content) for _, _, h, content in records(data) if h["WARC-Type"] != "warcinfo"]
                         yield pa.RecordBatch.from_pydict({n: [r[i] for r in found] for i, n in enumerate(names)}, kinds)
 
-    return index.select("bundle").distinct().mapInArrow(read, RECORD)
+    bundles = staged(index.select("bundle").distinct())
+    return bundles.repartition(max(1, bundles.count())).mapInArrow(read, RECORD)
+
+
+def _number(text: str | None) -> int | None:
+    return None if text is None else int(text)
 
 
-def _number(urn: str | None) -> int | None:
-    digits = (urn or "").removeprefix("<urn:page:").rstrip(">")
-    return int(digits) if digits else None
+def payload_of(headers: dict[str, str], content: bytes) -> bytes:
+    """The payload of a response's block: what follows its HTTP head."""
+    return content[content.index(_EOL * 2) + 4 :] if headers["WARC-Type"] == "response" else content
 
 
 def _row(headers: dict[str, str], content: bytes) -> tuple:
     kind = headers["WARC-Type"]
+    payload = payload_of(headers, content) if kind == "response" else None
     return (
-        _number(headers["WARC-Record-ID"]),
+        _number(headers.get("X-Page-ID")),
         headers.get("WARC-Target-URI"),
         kind,
-        _number(headers.get("WARC-Refers-To")),
+        _number(headers.get("X-Refers-To-Page-ID")),
         int(headers["X-Payload-Length"]),
         headers["WARC-Payload-Digest"].removeprefix("sha256:"),
-        hashlib.sha256(content).hexdigest() if kind == "response" else None,
+        None if payload is None else len(payload),
+        None if payload is None else hashlib.sha256(payload).hexdigest(),
     )
 
 
@@ -230,7 +259,8 @@ def fetch(index: DataFrame) -> DataFrame:
                 with fs.open_input_file(path) as file:
                     file.seek(start)
                     frame = zstandard.ZstdDecompressor().decompressobj().decompress(file.read(size))
-                found.append(next(records(frame[at : at + n]))[3])
+                _, _, headers, content = next(records(frame[at : at + n]))
+                found.append(payload_of(headers, content))
                 ids.append(page_id)
             yield pa.RecordBatch.from_pydict({"page_id": pa.array(ids, pa.int64()), "payload": pa.array(found, pa.binary())})
 
@@ -238,6 +268,23 @@ def fetch(index: DataFrame) -> DataFrame:
 
 
 def round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame:
-    """Write an archive into the shared folder, or ``folder``, and read it back."""
+    """Write an archive into the shared folder, or ``folder``, and read it back, :func:`checked`."""
     folder = folder or new_path(pages.sparkSession, "warc")
-    return read_archive(staged(write_archive(pages, folder)))
+    return checked(read_archive(staged(write_archive(pages, folder))))
+
+
+def checked(records: DataFrame) -> DataFrame:
+    """Records read back, with size and digest of each payload from the content read: of its own record, or
+    of the one that it refers to.  They are null where that content is lost or is not what the record says."""
+    back = staged(records)
+    said = back.where("record_type = 'response' AND payload_digest = stored_digest")
+    columns = ["page_id", "url", "record_type", "refers_to"]
+    own = back.where("record_type = 'response'").select(
+        *columns, *[F.when(F.col("payload_digest") == F.col("stored_digest"), F.col(c)).alias(f"payload_{c[7:]}") for c in ("stored_bytes", "stored_digest")]
+    )
+    others = back.where("record_type <> 'response'")
+    # One row for each page that others refer to.
+    shared = said.select(F.col("page_id").alias("_id"), F.col("stored_digest").alias("_digest"), F.col("stored_bytes").alias("_bytes"))
+    shared = shared.join(others.select(F.col("refers_to").alias("_id")).distinct(), "_id", "left_semi").distinct()
+    found = others.join(shared, (F.col("refers_to") == F.col("_id")) & (F.col("payload_digest") == F.col("_digest")), "left")
+    return own.unionByName(found.select(*columns, F.col("_bytes").alias("payload_bytes"), F.col("_digest").alias("payload_digest")))
