@@ -77,19 +77,22 @@ def post_process(
     parts: Sequence[DataFrame],
     out: str,
     noise: Sequence[str] = rules.NOISE_PATTERNS,
+    compression: str | None = "gzip",
 ) -> DataFrame:
     """Merge, clean and number parts; write all tables; return the counts.
 
+    The bodies are written five times, so the text outputs are compressed (``compression`` None: plain files).
+
     Cleaning and parsing are done once, in the pass that stores the ordered
     table; every output reads its columns from that.  The merged table and the
     text report hold case number, court and date as they were collected; only
     the review has them filled from the text.
     """
     cases = corpus.merge_and_clean(*parts, noise=noise, then=parsed_beside, stage_path=f"{out}/stage", place=PLACE)
-    sinks.write_cases(cases, f"{out}/cases_csv")
-    sinks.write_text_report(cases, f"{out}/cases_text", place=PLACE)
+    sinks.write_cases(cases, f"{out}/cases_csv", compression=compression)
+    sinks.write_text_report(cases, f"{out}/cases_text", place=PLACE, compression=compression)
     reviewed = review(cases)
-    sinks.write_flattened(reviewed, f"{out}/review_csv")
+    sinks.write_flattened(reviewed, f"{out}/review_csv", compression=compression)
     sinks.write_review(reviewed, f"{out}/review")
     return corpus.corpus_stats(cases)
 

@@ -27,13 +27,29 @@ CSV_WRITE_OPTIONS = {
 }
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", bom: bool = False) -> None:
+#: Rows of one file.  A compressed file, or one with line breaks in its values, is read back by one task.
+ROWS_PER_FILE = 50_000
+
+
+def file_options(compression: str | None = None, rows_per_file: int = ROWS_PER_FILE) -> dict[str, str]:
+    """Options of a text sink: ``compression`` such as ``"gzip"``, and how many rows a file may have (0: any number)."""
+    return {"maxRecordsPerFile": str(rows_per_file), "compression": compression or "none"}
+
+
+def write_csv(
+    df: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    bom: bool = False,
+    compression: str | None = None,
+    rows_per_file: int = ROWS_PER_FILE,
+) -> None:
     """CSV with header and minimal quoting; ``bom`` starts each file with the
     byte-order mark that spreadsheet programs look for."""
     if bom:
         first, *others = df.columns
         df = df.toDF(BYTE_ORDER_MARK + first, *others)
-    df.write.mode(mode).options(**CSV_WRITE_OPTIONS).csv(path)
+    df.write.mode(mode).options(**CSV_WRITE_OPTIONS, **file_options(compression, rows_per_file)).csv(path)
 
 
 def write_cases(df: DataFrame, path: str, **options) -> None:
@@ -51,23 +67,29 @@ def write_review(df: DataFrame, path: str) -> None:
     export_table(df, schema.REVIEW_COLUMNS).write.mode("overwrite").parquet(path)
 
 
-def write_text_report(df: DataFrame, path: str, seq: str = "seq", place: str | None = None) -> None:
+def write_text_report(
+    df: DataFrame, path: str, seq: str = "seq", place: str | None = None, compression: str | None = None
+) -> None:
     """The text report; its files, in name order, hold the records in order.
 
     With ``place``, the column that :func:`corpus.number_rows` gives under that name, the
     rows are in order as they are read, and each task writes a folder of its own; without, they are
     dealt to ranges first.
     """
+    codec = compression or "none"
     if place is None:
-        text_report(df, seq).repartitionByRange(seq).sortWithinPartitions(seq).select("value").write.mode("overwrite").text(path)
+        in_order = text_report(df, seq).repartitionByRange(seq).sortWithinPartitions(seq).select("value")
+        in_order.write.mode("overwrite").text(path, compression=codec)
         return
     rows = df.select(F.col(place).alias("place"), F.col(seq).alias("_seq"), report_block(F.col(seq)).alias("value"))
-    rows.sortWithinPartitions("place", "_seq").drop("_seq").write.mode("overwrite").partitionBy("place").text(path)
+    rows.sortWithinPartitions("place", "_seq").drop("_seq").write.mode("overwrite").partitionBy("place").text(path, compression=codec)
 
 
-def write_json_records(df: DataFrame, path: str) -> None:
+def write_json_records(
+    df: DataFrame, path: str, compression: str | None = None, rows_per_file: int = ROWS_PER_FILE
+) -> None:
     """Records as JSON lines."""
-    df.write.mode("overwrite").json(path)
+    df.write.mode("overwrite").options(**file_options(compression, rows_per_file)).json(path)
 
 
 def write_json_array(df: DataFrame, path: str) -> None:
