@@ -1,5 +1,7 @@
 """What a task, a file or the disk gets does not grow with the table."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -32,3 +34,14 @@ def test_post_process_compresses_its_text_outputs(spark, cases, tmp_path):
         assert [*(tmp_path / "plain" / name).rglob(f"part-*.{end}")]
     back = tables.read_part(spark, str(tmp_path / "out" / "cases_csv")).orderBy("seq")
     assert back.collect() == tables.read_part(spark, str(tmp_path / "plain" / "cases_csv")).orderBy("seq").collect()
+
+
+def test_no_csv_file_is_more_than_one_task_can_read(spark, tmp_path):
+    """A multi-line CSV file is read by one task, whatever wrote it."""
+    rows = spark.range(0, 120_000, 1, 1).selectExpr("id AS seq", "concat('a', id) AS title")
+    sinks.write_cases(rows, str(tmp_path / "c"), compression="gzip")
+    sinks.write_flattened(rows.selectExpr("*", "'b' AS body"), str(tmp_path / "f"))
+    for back in (tables.read_part(spark, str(tmp_path / "c")), tables.read_part(spark, str(tmp_path / "f"), schema.REVIEW_CSV)):
+        assert back.distinct().count() == 120_000
+        sizes = back.groupBy(F.input_file_name()).count().collect()
+        assert len(sizes) >= 3 and max(r["count"] for r in sizes) <= sinks.ROWS_PER_FILE
