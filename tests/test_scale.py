@@ -45,3 +45,16 @@ def test_no_csv_file_is_more_than_one_task_can_read(spark, tmp_path):
         assert back.distinct().count() == 120_000
         sizes = back.groupBy(F.input_file_name()).count().collect()
         assert len(sizes) >= 3 and max(r["count"] for r in sizes) <= sinks.ROWS_PER_FILE
+
+
+def test_orders_of_one_row_group_are_dealt_to_tasks(spark, orders_dir):
+    """Many splits, of which one holds all rows."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        assert spark.read.parquet(f"{orders_dir}/orders.parquet").rdd.getNumPartitions() >= 8
+        for made in (fixtures.judgments(spark, orders_dir), fixtures.cases(spark, orders_dir)):
+            sizes = made.select(F.spark_partition_id().alias("t")).groupBy("t").count().collect()
+            assert sum(r["count"] for r in sizes) == 130_000
+            assert max(r["count"] for r in sizes) <= fixtures.ORDERS_PER_TASK
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
