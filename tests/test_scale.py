@@ -58,3 +58,11 @@ def test_orders_of_one_row_group_are_dealt_to_tasks(spark, orders_dir):
             assert max(r["count"] for r in sizes) <= fixtures.ORDERS_PER_TASK
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_json_lines_are_compressed_and_bounded(spark, cases, tmp_path):
+    sinks.write_json_records(cases, str(tmp_path / "j"), compression="gzip", rows_per_file=7)
+    files = [*(tmp_path / "j").glob("part-*.json.gz")]
+    assert len(files) >= 6 and not [*(tmp_path / "j").glob("part-*.json")]
+    back = tables.read_json_records(spark, str(tmp_path / "j"), schema.CASE, array_file=False)
+    assert sorted(back.collect()) == sorted(cases.collect())
