@@ -66,3 +66,18 @@ def test_json_lines_are_compressed_and_bounded(spark, cases, tmp_path):
     assert len(files) >= 6 and not [*(tmp_path / "j").glob("part-*.json")]
     back = tables.read_json_records(spark, str(tmp_path / "j"), schema.CASE, array_file=False)
     assert sorted(back.collect()) == sorted(cases.collect())
+
+
+def files_written(spark, name, query, sf_dir, monkeypatch):
+    """Names of the files that a query of the entry wrote under ``name``, and how many rows it returned."""
+    import __spark_entry__ as entry
+
+    made = []
+    monkeypatch.setattr(entry, "new_path", lambda s, n: made.append((n, f"{sf_dir}/written_{len(made)}")) or made[-1][1])
+    n = getattr(entry, query)(spark, sf_dir).count()
+    return n, sorted(p.name for p in Path(dict(made)[name]).glob("part-*"))
+
+
+def test_a_stream_to_csv_writes_compressed_files_of_bounded_size(spark, orders_dir, monkeypatch):
+    n, files = files_written(spark, "stream_csv", "stream_append_csv", orders_dir, monkeypatch)
+    assert n == 130_000 and len(files) >= 3 and all(f.endswith(".csv.gz") for f in files)
