@@ -81,3 +81,12 @@ def files_written(spark, name, query, sf_dir, monkeypatch):
 def test_a_stream_to_csv_writes_compressed_files_of_bounded_size(spark, orders_dir, monkeypatch):
     n, files = files_written(spark, "stream_csv", "stream_append_csv", orders_dir, monkeypatch)
     assert n == 130_000 and len(files) >= 3 and all(f.endswith(".csv.gz") for f in files)
+
+
+@pytest.mark.parametrize("query, name", [("csv_blocks", "csv_file"), ("json_array_records", "json_array")])
+def test_large_files_grow_in_number_with_the_rows(spark, orders_dir, monkeypatch, query, name):
+    import __spark_entry__ as entry
+
+    monkeypatch.setattr(entry, "CASES_PER_FILE", 50_000)
+    n, files = files_written(spark, name, query, orders_dir, monkeypatch)
+    assert n == 130_000 and len(files) == 3
