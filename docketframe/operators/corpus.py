@@ -260,7 +260,15 @@ def reconcile(source: DataFrame, written: DataFrame) -> DataFrame:
 
 
 def preview(df: DataFrame, n: int = 3, seq: str = "seq") -> DataFrame:
-    """The first rows, shortened for reading."""
+    """The first rows, shortened for reading.
+
+    A first pass over ``seq`` alone finds the last number shown, so that dear columns are
+    computed of these rows only and not of all that are sorted.
+    """
+    numbers = [r[0] for r in df.select(seq).orderBy(seq).limit(n).collect()]
+    if len(numbers) == n:
+        last = F.lit(numbers[-1]).cast(df.schema[seq].dataType)
+        df = df.where(F.col(seq).isNull() | (F.col(seq) <= last))
 
     def shown(c: str) -> Column:
         return F.coalesce(F.col(c), F.lit(""))

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docketframe import fixtures, schema
+from docketframe.operators import corpus
 from docketframe.plans import workflow
 from docketframe.sources import sinks, tables
 
@@ -90,3 +91,19 @@ def test_large_files_grow_in_number_with_the_rows(spark, orders_dir, monkeypatch
     monkeypatch.setattr(entry, "CASES_PER_FILE", 50_000)
     n, files = files_written(spark, name, query, orders_dir, monkeypatch)
     assert n == 130_000 and len(files) == 3
+
+
+def test_a_preview_computes_dear_columns_of_the_rows_it_shows(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def dear(seq):
+        seen.add(1)
+        return f"v{seq}"
+
+    some = spark.range(0, 3000, 1, 4).select(F.when(F.col("id") != 7, F.col("id")).alias("seq"))
+    rows = some.withColumns({c: F.lit("") for c in ("title", "court", "case_no", "gender", "body")}).withColumn("verdict", dear("seq"))
+    shown = corpus.preview(rows).collect()
+    assert [(r.seq, r.verdict) for r in shown] == [(None, "vNone..."), (0, "v0..."), (1, "v1...")]
+    assert seen.value < 100
+    assert corpus.preview(rows.limit(2)).count() == 2
