@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from docketframe import schema
 from docketframe.functions.links import file_key
 from docketframe.operators.records import export_table, flattened, report_block, text_report
-from docketframe.session import ship_package
+from docketframe.session import dealt, ship_package, small, staged
 
 BYTE_ORDER_MARK = "﻿"
 # The writer would escape with a backslash and trim values by default.
@@ -85,6 +85,28 @@ def write_text_report(
     rows.sortWithinPartitions("place", "_seq").drop("_seq").write.mode("overwrite").partitionBy("place").text(path, compression=codec)
 
 
+#: Documents that one task writes, a file each.
+DOCUMENTS_PER_TASK = 5_000
+
+
+def write_documents(df: DataFrame, path: str, key: str, text: str) -> None:
+    """A text file for each value of ``key``: the key on the first line (blank if NULL), then the text; NULL is ''.
+
+    All lie in one folder, as a folder for each costs several times what its file does.  Texts that
+    share a key share a file, one after the other; rows without a key have a file each.
+    """
+    rows = df.select(F.col(key).cast("string").alias("key"), F.coalesce(text, F.lit("")).alias("text"))
+    again = staged(rows.groupBy("key").count().where("count > 1 AND key IS NOT NULL").select("key"))
+    if not again.isEmpty():
+        few = small(again, 64)
+        shared = rows.join(few, "key", "left_semi").groupBy("key").agg(F.array_join(F.collect_list("text"), "\n").alias("text"))
+        rows = rows.join(few, "key", "left_anti").unionByName(shared)
+    whole = rows.select(F.concat(F.coalesce("key", F.lit("")), F.lit("\n"), "text").alias("value"))
+    # Tasks move their files into place themselves; the second version of the algorithm lets them.
+    moved = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
+    dealt(whole, DOCUMENTS_PER_TASK).write.mode("overwrite").options(maxRecordsPerFile="1", **moved).text(path)
+
+
 def write_json_records(
     df: DataFrame, path: str, compression: str | None = None, rows_per_file: int = ROWS_PER_FILE
 ) -> None:

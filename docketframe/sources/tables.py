@@ -89,9 +89,10 @@ def read_json_records(
         raise
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Whole text files, one document each."""
-    return (
-        spark.read.text(path, wholetext=True)
-        .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body"))
-    )
+def read_documents(spark: SparkSession, path: str, keyed: bool = False) -> DataFrame:
+    """Whole text files, one document each; with ``keyed``, ``key`` is the first line of each (NULL if blank), and ``body`` what follows."""
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body"))
+    if not keyed:
+        return files
+    first = F.substring_index("body", "\n", 1)
+    return files.select("path", F.nullif(first, F.lit("")).alias("key"), F.substr("body", F.length(first) + 2).alias("body"))

@@ -107,3 +107,14 @@ def test_a_preview_computes_dear_columns_of_the_rows_it_shows(spark):
     assert [(r.seq, r.verdict) for r in shown] == [(None, "vNone..."), (0, "v0..."), (1, "v1...")]
     assert seen.value < 100
     assert corpus.preview(rows.limit(2)).count() == 2
+
+
+def test_documents_are_one_folder_of_files(spark, tmp_path):
+    """A folder for each document took several times as long."""
+    rows = [(i, f"text {i}\n\nof two\nlines" if i % 3 else "") for i in range(40)]
+    docs = spark.createDataFrame([*rows, (50, None), (51, "a"), (51, "a"), (None, "x"), (None, "y")], "doc_id bigint, text string")
+    sinks.write_documents(docs, str(tmp_path / "d"), "doc_id", "text")
+    assert len([*(tmp_path / "d").glob("part-*.txt")]) == 44 and not [p for p in (tmp_path / "d").iterdir() if p.is_dir()]
+    found = tables.read_documents(spark, str(tmp_path / "d"), keyed=True).select("key", "body").collect()
+    wanted = [(str(i), f"{t}\n") for i, t in rows] + [("50", "\n"), ("51", "a\na\n"), (None, "x\n"), (None, "y\n")]
+    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, wanted))
