@@ -118,3 +118,28 @@ def test_documents_are_one_folder_of_files(spark, tmp_path):
     found = tables.read_documents(spark, str(tmp_path / "d"), keyed=True).select("key", "body").collect()
     wanted = [(str(i), f"{t}\n") for i, t in rows] + [("50", "\n"), ("51", "a\na\n"), (None, "x\n"), (None, "y\n")]
     assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, wanted))
+
+
+def test_list_pages_are_made_in_tasks_that_grow_in_number_with_the_orders(spark, orders_dir, monkeypatch):
+    monkeypatch.setattr(fixtures, "ORDERS_PER_TASK", 5_000)
+    pages = fixtures.list_pages(spark, orders_dir)
+    assert pages.rdd.getNumPartitions() == 26 and pages.count() == 26_000
+    # What is shuffled is orders, not the items made of them.
+    exchange = pages._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression", 1)[1]
+    assert "LM_list" not in exchange
+
+
+def test_a_summary_of_pages_reads_no_field_but_the_title(spark, monkeypatch):
+    from docketframe import rules
+    from docketframe.functions import html as H
+    from docketframe.operators import pages
+
+    asked = []
+    real = H.listing
+    monkeypatch.setattr(H, "listing", lambda *a, **k: asked.append(k.get("fields")) or real(*a, **k))
+    item = '<div class=LM_list><a class=caseName href=x>t{}</a><span class=ah>n</span></div>'
+    rows = spark.createDataFrame([(1, item.format(1) + item.format(2)), (2, "")], "p int, html string")
+    assert sorted(map(tuple, pages.page_summary(rows).collect())) == [(1, 2, "t1"), (2, 0, "")]
+    assert asked == [{"title": rules.LIST_FIELDS["title"]}]
+    (page,) = rows.where("p = 1").select(H.listing(F.col("html"), fields=asked[0])["items"].alias("i")).collect()
+    assert [(i.title, i.case_no, i.court, i.date) for i in page.i] == [("t1", "", "", ""), ("t2", "", "", "")]
