@@ -38,6 +38,8 @@ MOST_GRAMS = 16
 FEW_ROWS = 10_000
 
 _BITS = 21  # of a code point
+#: Of the number of a segment among those of a portion of texts; with two code points it makes 63.
+_PLACE_BITS = 21
 POSTINGS = "gram long, block long, rows array<struct<key:long,segments:array<int>>>"
 _GRAMS_READ = f"{POSTINGS}, bucket int, slice int"
 _TEXTS_READ = "key long, text string, block long"
@@ -69,6 +71,8 @@ def _portions(batches: Iterator[pa.RecordBatch], size: int = 1 << 20) -> Iterato
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in _portions(batches):
+        # Rows of one block lie together, so their texts' numbers are in the order of the blocks as well.
+        batch = batch.take(np.argsort(batch["block"].to_numpy(), kind="stable"))
         texts = batch["text"].to_pylist()
         sizes = np.array([len(t) for t in texts], np.int64)
         points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
@@ -79,12 +83,17 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         after[np.cumsum(sizes[sizes > 0]) - 1] = 0  # nothing follows the last character of a text
         gram, segment = points << _BITS | after, at // SEGMENT
         again = (at % SEGMENT < OVERLAP) & (segment > 0)
-        gram, doc, segment = (np.concatenate([a, a[again] - d]) for a, d in ((gram, 0), (doc, 0), (segment, 1)))
-        block = batch["block"].to_numpy()[doc]
-        order = np.lexsort((segment, doc, block, gram))
-        gram, doc, segment, block = (a[order] for a in (gram, doc, segment, block))
-        single = _changes(gram, doc, segment)[:-1]
-        gram, doc, segment, block = (a[single] for a in (gram, doc, segment, block))
+        # Segments of all texts are numbered in the order of their rows: with the gram that is one whole number to sort.
+        before = np.cumsum(-(-sizes // SEGMENT))
+        first_segment = np.append(0, before[:-1])
+        place = first_segment[doc] + segment
+        code = gram << _PLACE_BITS | place
+        code = np.concatenate([code, code[again] - 1])
+        code.sort()
+        code = code[_changes(code)[:-1]]
+        gram, place = code >> _PLACE_BITS, code & (1 << _PLACE_BITS) - 1
+        doc = np.searchsorted(before, place, "right")
+        segment, block = place - first_segment[doc], batch["block"].to_numpy()[doc]
         rows = _changes(gram, doc)
         lists = _changes(gram[rows[:-1]], block[rows[:-1]])
         first = rows[:-1][lists[:-1]]
