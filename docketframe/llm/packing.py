@@ -19,6 +19,7 @@ from bisect import bisect_left, insort
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +30,8 @@ CAPACITY = 2048
 END = 0
 #: Word pieces whose ids a Python worker keeps.
 CACHED_PIECES = 1_200_000
+#: Texts whose pieces are looked up together, of those that come in one batch of rows.
+TEXTS = 1000
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
@@ -85,14 +88,41 @@ class WordTokenizer:
         """Little-endian 32-bit ids of each text."""
         if len(self.known) > CACHED_PIECES:
             self.known = {}
-        rows = []
-        for text in texts:
-            # Only a blank after another kind of character surely begins a piece.
-            plain = "\0" not in text and not _SPACE_THEN_SPACE.search(text)
-            rows.append(text.replace(" ", "\0 ").split("\0") if plain else _BEFORE_WORD.split(text))
+        # Only a blank after another kind of character surely begins a piece.
+        odd = {i for i, text in enumerate(texts) if _SPACE_THEN_SPACE.search(text)}
+        rows = [_BEFORE_WORD.split(texts[i]) for i in odd]
+        out = self._ids_of_plain(pa.array(["" if i in odd else t for i, t in enumerate(texts)], pa.large_string()))
         self._learn(set().union(*rows).difference(self.known))
         known = self.known.__getitem__
-        return [b"".join(map(known, row)) for row in rows]
+        for i, row in zip(odd, rows):
+            out[i] = b"".join(map(known, row))
+        return out
+
+    def _ids_of_plain(self, texts: pa.Array) -> list[bytes]:
+        """Of texts in which every blank begins a piece: a piece that a batch holds many times is looked up once."""
+        if not len(texts):
+            return []
+        parts = pc.split_pattern(texts, " ")
+        edges, words = parts.offsets.to_numpy(), parts.values.dictionary_encode()
+        code = words.indices.to_numpy().astype(np.int64)
+        # What stands before the first blank is a piece without one; those are named by their texts.
+        blank, nothing = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())
+        after = pc.binary_join_element_wise(blank, words.dictionary, nothing)
+        heads = parts.values.take(pa.array(edges[:-1]))
+        code[edges[:-1]] = len(after) + np.arange(len(heads))
+        pieces = pa.concat_arrays([after, heads]).to_numpy(zero_copy_only=False).tolist()
+        data = list(map(self.known.get, pieces))
+        new = [i for i, known in enumerate(data) if known is None]
+        self._learn({pieces[i] for i in new})
+        for i in new:
+            data[i] = self.known[pieces[i]]
+        sizes = np.fromiter(map(len, data), np.int64, len(data)) >> 2
+        ids, begin = np.frombuffer(b"".join(data), "<u4"), np.cumsum(sizes) - sizes
+        own = sizes[code]
+        ends = np.cumsum(own)
+        placed = ids[np.repeat(begin[code] - ends + own, own) + np.arange(ends[-1])].tobytes()
+        bounds = (4 * np.append(0, ends)[edges]).tolist()
+        return [placed[s:e] for s, e in zip(bounds, bounds[1:])]
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -110,9 +140,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep
     def run(source):
         for rows in source:
             ids, texts = rows["doc_id"].to_pylist(), rows["text"].to_pylist()
-            for at in range(0, len(texts), 500):
+            for at in range(0, len(texts), TEXTS):
                 out = {c.split()[0]: [] for c in PIECE.split(", ")}
-                for doc_id, data in zip(ids[at : at + 500], _tokenizer(tokenizer).ids([t or "" for t in texts[at : at + 500]])):
+                for doc_id, data in zip(ids[at : at + TEXTS], _tokenizer(tokenizer).ids([t or "" for t in texts[at : at + TEXTS]])):
                     data += END.to_bytes(4, "little")
                     n = len(data) // 4
                     edges = [0, *range((n - 1) % capacity + 1, n + 1, capacity)]
