@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from functools import lru_cache
 
 import numpy as np
@@ -29,6 +30,17 @@ def powers(step: int, n: int) -> np.ndarray:
     return _powers(step, max(10, int(n).bit_length()))[:n]
 
 
+def give_back() -> None:
+    """Hand memory that is no longer used back to the system.
+
+    A Python worker is kept for the stages that follow; what its arrays took would stay with it beside them.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc only
+    if trim:
+        trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread every input bit over all 64 output bits; one to one."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

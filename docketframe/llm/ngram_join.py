@@ -142,6 +142,7 @@ def _verified(pairs: DataFrame, members: DataFrame, num: int, den: int) -> DataF
                     good = den * shared >= num * (len(x) + len(y) - shared)
                 keep.append(good)
             yield rows.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        arrays.give_back()
 
     return both.mapInArrow(compare, "a long, b long")
 

@@ -113,6 +113,7 @@ def statistics(docs: DataFrame) -> DataFrame:
                         [part["doc_id"], part["lang"], part["source"], *map(pa.array, facts.values())],
                         ["doc_id", "lang", "source", *facts],
                     )
+        arrays.give_back()
 
     return docs.select(
         F.col("doc_id").cast("long"), *[F.col(c).cast("string") for c in ("lang", "source", "text")]

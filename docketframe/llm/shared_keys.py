@@ -88,6 +88,7 @@ def packed(docs: DataFrame) -> DataFrame:
                 {"uid": [b.uid], "ids": [b.ids], "sizes": [b.sizes.astype(np.int64).tobytes()], "texts": [texts]},
                 pa.schema([("uid", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.binary()), ("texts", pa.binary())]),
             )
+        arrays.give_back()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(pack, BATCH)
 
@@ -177,7 +178,12 @@ def repeated(blocks: DataFrame) -> DataFrame:
             start += size
         return pa.table(out, pa.schema([("uid", pa.int64()), ("bucket", pa.int32()), ("places", pa.binary()), ("totals", pa.binary())]))
 
-    return blocks.groupBy("bucket").applyInArrow(judge, REPLY)
+    def judged(rows: pa.Table) -> pa.Table:
+        out = judge(rows)
+        arrays.give_back()
+        return out
+
+    return blocks.groupBy("bucket").applyInArrow(judged, REPLY)
 
 
 def answered(docs: DataFrame, replies: DataFrame, use: Callable[[Batch, pa.Table], pa.Table | None], schema: str) -> DataFrame:
@@ -186,7 +192,9 @@ def answered(docs: DataFrame, replies: DataFrame, use: Callable[[Batch, pa.Table
     def meet(batch: pa.Table, own: pa.Table) -> pa.Table:
         if batch.num_rows == 0:
             raise RuntimeError("the texts were not read in the same batches again; stage them first")
-        return use(unpacked(batch), own)
+        out = use(unpacked(batch), own)
+        arrays.give_back()
+        return out
 
     return packed(docs).groupBy("uid").cogroup(replies.groupBy("uid")).applyInArrow(meet, schema)
 
@@ -195,5 +203,6 @@ def mapped(docs: DataFrame, use: Callable[[Batch], pa.RecordBatch], schema: str)
     def run(source):
         for b in batches(source):
             yield use(b)
+        arrays.give_back()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)

@@ -297,6 +297,50 @@ def test_pieces_of_texts_give_the_ids_of_the_texts():
     assert not wrong, wrong[:5]
 
 
+@pytest.mark.skipif(importlib.util.find_spec("public_tokenizers") is None, reason="no tokenizer files")
+def test_a_piece_is_looked_up_once_for_many_texts():
+    import public_tokenizers
+
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *a):
+            Counted.asked += 1
+            return super().get(*a)
+
+        def __getitem__(self, k):
+            Counted.asked += 1
+            return super().__getitem__(k)
+
+    tokenizer = packing.WordTokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer.known = Counted()
+    got = tokenizer.ids(["one two two" + " two" * 1000] * 20)
+    assert Counted.asked < 100 and len(set(got)) == 1
+
+
+def test_workers_give_memory_back():
+    import ctypes
+
+    import numpy as np
+    import psutil
+    from docketframe.llm import arrays
+
+    if not hasattr(ctypes.CDLL(None), "malloc_trim"):
+        pytest.skip("not glibc")
+    held = [np.ones(12_500) for _ in range(3000)]  # 100 KB each: below what is mapped by itself
+    last = np.ones(12_500)
+    held.clear()
+    arrays.give_back()
+    before = psutil.Process().memory_info().rss
+    held = [np.ones(12_500) for _ in range(3000)]
+    kept = held[2::3]  # holes between what is still in use
+    full = psutil.Process().memory_info().rss
+    held.clear()
+    arrays.give_back()
+    after = psutil.Process().memory_info().rss
+    assert full - before > 200 << 20 and after - before < (full - before) * 0.6, (before, full, after, len(kept), len(last))
+
+
 def test_archive(spark, tmp_path):
     big = "x" * 200
     rows = [(3, "u", big), (1, "u\r\nv", big), (2, None, "small"), (4, "u", "small"), (5, "u", None), (6, "u", "é" * 300_000)]
