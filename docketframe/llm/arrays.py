@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -30,11 +31,17 @@ def powers(step: int, n: int) -> np.ndarray:
     return _powers(step, max(10, int(n).bit_length()))[:n]
 
 
+#: How to drop what operators keep in a Python worker from one task to the next.
+KEPT: list[Callable[[], object]] = [_powers.cache_clear]
+
+
 def give_back() -> None:
-    """Hand memory that is no longer used back to the system.
+    """Hand memory that is no longer used back to the system, what operators keep included.
 
     A Python worker is kept for the stages that follow; what its arrays took would stay with it beside them.
     """
+    for drop in KEPT:
+        drop()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc only
     if trim:
@@ -56,6 +63,22 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, step:
     return mix((sums[ends] - sums[starts]) * powers(back, len(values) + 1)[starts])
 
 
+#: Bytes of text whose words are hashed at a time, unless one word alone is longer: some 40 bytes are taken for each.
+HASHED_BYTES = 1 << 18
+
+
+def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, byte_values: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each word, a slice of the text after the other."""
+    out, at = np.empty(len(starts), np.uint64), 0
+    while at < len(starts):
+        to = max(at + 1, int(np.searchsorted(ends, starts[at] + HASHED_BYTES, side="right")))
+        first = starts[at]
+        values = byte_values[data[first : ends[to - 1]]]
+        out[at:to] = span_hashes(values, starts[at:to] - first, ends[at:to] - first, _BYTE_STEP)
+        at = to
+    return out
+
+
 class Words:
     """The words of a batch of texts.
 
@@ -74,8 +97,7 @@ class Words:
         self.first = np.searchsorted(self.starts, self.bounds)
         self.counts = np.diff(self.first)
         self.doc = np.repeat(np.arange(len(sizes)), self.counts)
-        values = _BYTE_VALUES[_LOWER] if lower else _BYTE_VALUES
-        self.hash = span_hashes(values[data], self.starts, self.ends, _BYTE_STEP)
+        self.hash = _word_hashes(data, self.starts, self.ends, _BYTE_VALUES[_LOWER] if lower else _BYTE_VALUES)
 
     def __len__(self) -> int:
         return len(self.starts)

@@ -23,6 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docketframe.llm import arrays
 from docketframe.operators.corpus import number_rows
 from docketframe.session import staged
 
@@ -126,6 +127,8 @@ class WordTokenizer:
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
+# Tasks of this operator share them; those of others have no use for them.
+arrays.KEPT.append(_TOKENIZERS.clear)
 
 
 def _tokenizer(path: str) -> WordTokenizer:
@@ -217,7 +220,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids: bo
     names = [c.split()[0] for c in PIECE.split(", ")]
 
     def place(source):
-        _TOKENIZERS.clear()  # all texts are encoded by now; the worker may be kept for other work
+        arrays.give_back()  # all texts are encoded by now; the worker may be kept for other work
         for rows in source:
             rank = rows["rank"].to_numpy() - 1
             first_rank, per, first, offset, length = plan[np.searchsorted(plan[:, 0], rank, "right") - 1].T

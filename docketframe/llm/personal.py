@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docketframe.llm import arrays
+
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, int]  # start, number of the kind, end
 
@@ -304,6 +306,7 @@ def redact(docs: DataFrame) -> DataFrame:
     """
 
     def run(source):
+        arrays.give_back()
         for rows in source:
             texts = [t if t is None else redacted(t, [s for found in find(t) for s in found]) for t in rows["text"].to_pylist()]
             new = {"text": pa.array(texts, rows["text"].type)}

@@ -98,6 +98,7 @@ def statistics(docs: DataFrame) -> DataFrame:
     """Counts and transformed statistics per row; null texts have no words."""
 
     def run(source):
+        arrays.give_back()
         for rows in source:
             size, cut = 0, [0]
             for i, n in enumerate(pc.fill_null(pc.binary_length(rows["text"]), 0).to_pylist()):

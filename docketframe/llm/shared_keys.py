@@ -56,6 +56,7 @@ def batches(source: Iterator[pa.RecordBatch]) -> Iterator[Batch]:
     The number of a batch holds its task, its place there and a checksum of
     its texts.  A second reading of the same files gives the same batches.
     """
+    arrays.give_back()
     task, held, n, size = TaskContext.get().partitionId(), [], 0, 0
 
     def close() -> Batch:
