@@ -151,7 +151,8 @@ def sentence(body: Column, patterns: Sequence[str] = rules.PRISON_TERMS) -> Colu
     """First prison term, else detention, else exemption."""
     detention = numeral_text(find_or_null(body, rules.DETENTION_MONTHS, 1))
     return F.coalesce(
-        F.get(prison_terms(body, patterns), F.lit(0)),
+        # One by one: a pattern is searched for only where those before it give no term.
+        *[F.get(prison_terms(body, [p]), F.lit(0)) for p in patterns],
         F.concat(F.lit("拘役"), detention, F.lit("个月")),
         F.when(F.contains(body, F.lit(rules.EXEMPTION)), rules.EXEMPTION),
         F.lit(""),

@@ -1,5 +1,7 @@
 import pytest
+from pyspark.sql import functions as F
 
+from docketframe import rules
 from docketframe.functions import fields
 from docketframe.operators import records
 
@@ -178,3 +180,10 @@ def test_windows_and_rule_lists_are_arguments(apply):
     assert apply(lambda c: fields.injury_level(c, [("x", ["甲"])]), [text]) == ["x"]
     long = "判决如下：" + "一" * 600
     assert [len(x) for x in apply(fields.verdict, [long]) + apply(lambda c: fields.verdict(c, limit=None), [long])] == [503, 600]
+
+
+def test_a_term_found_leaves_later_patterns_unsearched(spark):
+    # A pattern that cannot be compiled fails as soon as it is searched for.
+    df = spark.createDataFrame([("判处有期徒刑一年六个月。",)], "body string")
+    found = df.select(fields.sentence(F.col("body"), [rules.PRISON_TERMS[0], "([b-a])"])).first()[0]
+    assert found == "1年6个月"
