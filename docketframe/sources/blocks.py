@@ -48,6 +48,7 @@ class Format:
     A unit that begins outside quotes, at the depth of the file's records, begins a record.
     ``end`` is what the last separator of a record takes away.  ``marked``, on a file's first
     unit, says whether its records lie in a list, or else whether its lines end in ``\\r\\n``.
+    ``measured`` makes MEASURED of all units.
     """
 
     separator: str
@@ -55,6 +56,7 @@ class Format:
     measure: Measure
     marked: Callable[[str], bool]
     nested: bool
+    measured: Callable[[DataFrame, Format], DataFrame]
 
 
 def _measure_csv(lines: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -79,8 +81,17 @@ def _measure_json(units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out[0], out[1], out[2]
 
 
-CSV = Format("\n", "", _measure_csv, lambda line: line.endswith("\r"), nested=False)
-JSON = Format("}", "}", _measure_json, lambda unit: unit.lstrip("\ufeff \t\r\n").startswith("["), nested=True)
+def _measured_csv(lines: DataFrame, form: Format) -> DataFrame:
+    """By expressions: lines are short and many, so that sending each to Python is dear."""
+    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"')))
+    # A block is one split, which one task reads in order.
+    ends = (F.col("block") == 0) & F.first(F.endswith("value", F.lit("\r")))
+    return lines.groupBy("file", "block").agg(
+        (F.sum(quotes) % 2).cast("int").alias("odd"),
+        F.lit(0).cast("long").alias("rise_out"),
+        F.lit(0).cast("long").alias("rise_in"),
+        ends.alias("marked"),
+    )
 
 
 def _units(spark: SparkSession, path: str | list[str], form: Format) -> DataFrame:
@@ -128,6 +139,14 @@ def _measured(form: Format):
     return run
 
 
+def _measured_units(units: DataFrame, form: Format) -> DataFrame:
+    return units.mapInArrow(_measured(form), MEASURED)
+
+
+CSV = Format("\n", "", _measure_csv, lambda line: line.endswith("\r"), False, _measured_csv)
+JSON = Format("}", "}", _measure_json, lambda unit: unit.lstrip("\ufeff \t\r\n").startswith("["), True, _measured_units)
+
+
 def _begins(measured: DataFrame) -> DataFrame:
     """How each block begins: inside a quote or not, and how deep; and whether its file is marked."""
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -140,6 +159,18 @@ def _begins(measured: DataFrame) -> DataFrame:
     )
 
 
+#: What is not white space to str.strip.
+NOT_BLANK = r"[^\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
+def _whole(units: pa.Array, starts: np.ndarray, form: Format) -> pa.Array:
+    """The records from each start to the next; blank ones are none."""
+    lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), units.cast(pa.string()))
+    texts = pc.binary_join(lists, form.separator)
+    texts = texts.filter(pc.match_substring_regex(texts, NOT_BLANK))
+    return pc.binary_join_element_wise(texts, form.end, "") if form.end else texts
+
+
 def _cut(form: Format):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in PIECES.split(", ")]
@@ -152,6 +183,13 @@ def _cut(form: Format):
             columns = zip(*rows) if rows else [[]] * len(names)
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
 
+        def records(texts: pa.Array) -> pa.RecordBatch:
+            nonlocal first
+            n = len(texts)
+            columns = (np.full(n, here[0]), np.full(n, here[1]), np.full(n, RECORD), first & (np.arange(n) == 0))
+            first = first and not n
+            return pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(columns, kinds)), texts], names)
+
         for key, part in _slices(batches):
             rows: list[tuple] = []
 
@@ -174,19 +212,21 @@ def _cut(form: Format):
                 kind = RECORD if inside == 0 and depth <= top else HEAD
             states, depths = _before(*form.measure(part["value"]), inside, depth)
             inside, depth = int(states[-1]), int(depths[-1])
-            units = part["value"].to_pylist()
+            units = part["value"]
             if marked and not form.nested:
-                units = [u.removesuffix("\r") for u in units]
-            starts = np.flatnonzero((states[:-1] == 0) & (depths[:-1] <= top)).tolist()
-            if starts:
+                units = pc.replace_substring_regex(units, r"\r\z", "")
+            starts = np.flatnonzero((states[:-1] == 0) & (depths[:-1] <= top))
+            if len(starts):
                 if pending or kind == HEAD:
-                    put(kind, pending + units[: starts[0]])
+                    put(kind, pending + units[: starts[0]].to_pylist())
                     kind = RECORD
-                for s, e in zip(starts, starts[1:]):
-                    put(RECORD, units[s:e])
-                pending = units[starts[-1] :]
+                if len(starts) > 1:
+                    yield batch_of(rows)
+                    rows.clear()
+                    yield records(_whole(units, starts, form))
+                pending = units[starts[-1] :].to_pylist()
             else:
-                pending += units
+                pending += units.to_pylist()
             if pending and inside == 0 and depth <= top:
                 put(kind, pending)
                 pending, kind = [], RECORD
@@ -201,7 +241,7 @@ def _pieces(spark: SparkSession, path: str | list[str], form: Format) -> DataFra
     """All records (kind 0), and what the edges of blocks cut off of some."""
     ship_package(spark)
     units = _units(spark, path, form)
-    begins = staged(_begins(units.mapInArrow(_measured(form), MEASURED)))
+    begins = staged(_begins(form.measured(units, form)))
     if begins.count() <= BROADCAST_BLOCKS:
         known = units.join(F.broadcast(begins), ["file", "block"], "left")
     else:
@@ -262,7 +302,8 @@ def read_part_blocks(
     """
     header = [h.removeprefix("\ufeff") for h in spark.read.options(**CSV_OPTIONS).csv(path).columns] or csv_schema.names
     columns = schema.strings([f"_{i}" for i in range(len(header))])
-    text = F.regexp_replace("text", "^\ufeff", "")
+    # A pattern makes a copy of every text.
+    text = F.when(F.startswith("text", F.lit("\ufeff")), F.regexp_replace("text", "^\ufeff", "")).otherwise(F.col("text"))
     options = {k: v for k, v in CSV_OPTIONS.items() if k not in ("header", "encoding")}
     rows = read_records(spark, path, CSV, F.from_csv(text, ", ".join(f"{c} string" for c in columns.names), options), stage_path)
     names = F.array(*[F.coalesce(F.col(f"r.{c}"), F.lit("")) for c in columns.names])

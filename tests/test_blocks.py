@@ -4,6 +4,8 @@ import csv
 import json
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -134,3 +136,23 @@ def test_json_array_round_trip(spark, tmp_path):
         json.loads(file.read_text())
     got = blocks.read_json_array(spark, str(tmp_path / "j"), JSON).select("k", "title").collect()
     assert sorted(map(tuple, got)) == rows
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_csv_blocks_are_measured_without_python(spark, small_blocks, tmp_path, end):
+    """Sending every line to Python took most of the first pass."""
+    write_csv(tmp_path / "p.csv", [(i, "", "", "", "", "", b) for i, b in enumerate(bodies(60, 5))], end=end)
+    units = blocks._units(spark, str(tmp_path / "p.csv"), blocks.CSV)
+    found = blocks.CSV.measured(units, blocks.CSV)
+    assert found.columns == [c.split()[0] for c in blocks.MEASURED.split(", ")]
+    assert "InArrow" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(found.collect()) == sorted(blocks._measured_units(units, blocks.CSV).collect())
+
+
+def test_records_are_joined_from_units_without_blank_ones():
+    units = [chr(c) for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF]
+    kept = blocks._whole(pa.array([*units, "next"]), np.arange(len(units) + 1), blocks.CSV).to_pylist()
+    assert kept == [u for u in units if u.strip()]
+    some = pa.array(["before", "a", "", "b", " ", "\u3000", "next"])[1:]
+    assert blocks._whole(some, np.array([0, 2, 3, 5]), blocks.CSV).to_pylist() == ["a\n", "b"]
+    assert blocks._whole(some, np.array([0, 2, 3, 5]), blocks.JSON).to_pylist() == ["a}}", "b}", " }\u3000}"]
