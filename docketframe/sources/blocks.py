@@ -313,6 +313,18 @@ def read_part_blocks(
     return part_columns(rows.where("NOT first").select("r.*"), header, csv_schema)
 
 
+_BEFORE_BRACKET = r'^[^"{]*+(?:"(?:[^"\\]++|\\.)*+"[^"{]*+)*+'
+
+
+def _from_bracket(text: Column) -> Column:
+    """An element from its opening bracket on; what stands before it separates records or is no object.
+
+    Mostly that is but a comma and a line end, which need no pattern: a pattern makes copies of every text.
+    """
+    plain = F.ltrim(text, F.lit(", \t\r\n"))
+    return F.when(F.startswith(plain, F.lit("{")), plain).otherwise(F.regexp_replace(text, _BEFORE_BRACKET, ""))
+
+
 def read_json_array(
     spark: SparkSession, path: str, json_schema: T.StructType, corrupt: str | None = None, stage_path: str | None = None
 ) -> DataFrame | None:
@@ -325,8 +337,7 @@ def read_json_array(
     """
     if corrupt:
         json_schema = T.StructType([*json_schema.fields, T.StructField(corrupt, T.StringType())])
-    # From its opening bracket on; what stands before it separates records or is no object.
-    text = F.regexp_replace("text", r'^[^"{]*+(?:"(?:[^"\\]++|\\.)*+"[^"{]*+)*+', "")
+    text = _from_bracket(F.col("text"))
     options = {"mode": "PERMISSIVE"} | ({"columnNameOfCorruptRecord": corrupt} if corrupt else {})
     parsed = F.when(text != "}", F.from_json(text, json_schema, options))
     try:

@@ -156,3 +156,11 @@ def test_records_are_joined_from_units_without_blank_ones():
     some = pa.array(["before", "a", "", "b", " ", "\u3000", "next"])[1:]
     assert blocks._whole(some, np.array([0, 2, 3, 5]), blocks.CSV).to_pylist() == ["a\n", "b"]
     assert blocks._whole(some, np.array([0, 2, 3, 5]), blocks.JSON).to_pylist() == ["a}}", "b}", " }\u3000}"]
+
+
+def test_text_of_a_json_element_begins_at_its_bracket(spark):
+    texts = ['{"a": 1}', ',\n{"a": "{"}', ' \t\r\n, {}', '[{"k"}', '"x{}", {"k"}', ' 5, "\\"{", null, {"k"}', "}", "]\n", "", ", ]", "\ufeff[{}", "\xa0{}", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    by_pattern = F.regexp_replace("t", blocks._BEFORE_BRACKET, "")
+    for r in rows.select(blocks._from_bracket(F.col("t")).alias("ours"), by_pattern.alias("theirs")).collect():
+        assert r.ours == r.theirs
