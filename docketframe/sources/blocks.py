@@ -21,7 +21,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import Broadcast
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -172,9 +171,7 @@ def _whole(units: pa.Array, starts: np.ndarray, form: Format) -> pa.Array:
     return pc.binary_join_element_wise(texts, form.end, "") if form.end else texts
 
 
-def _cut(form: Format, known: Broadcast | None = None):
-    """Cuts blocks that begin as ``known`` says by file and block, or else as columns do."""
-
+def _cut(form: Format):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in PIECES.split(", ")]
         kinds = (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.string())
@@ -208,10 +205,7 @@ def _cut(form: Format, known: Broadcast | None = None):
                 if pending:
                     put(INNER if kind == HEAD else TAIL, pending)
                 here, pending, first = key, [], key[1] == 0
-                if known is None:
-                    inside, depth, marked = (part[c][0].as_py() for c in ("inside", "depth", "marked"))
-                else:
-                    inside, depth, marked = known.value.get(key, (None, 0, False))
+                inside, depth, marked = (part[c][0].as_py() for c in ("inside", "depth", "marked"))
                 if inside is None:
                     raise RuntimeError("the file's blocks are not those of the first pass; read it again")
                 top = int(form.nested and marked)
@@ -249,17 +243,16 @@ def _pieces(spark: SparkSession, path: str | list[str], form: Format) -> DataFra
     units = _units(spark, path, form)
     begins = staged(_begins(form.measured(units, form)))
     if begins.count() <= BROADCAST_BLOCKS:
-        # A variable and not a join: three more columns on every line would double what sending lines to Python takes.
-        known = {(r.file, r.block): (r.inside, r.depth, r.marked) for r in begins.collect()}
-        return units.mapInArrow(_cut(form, spark.sparkContext.broadcast(known)), PIECES)
-    joined = (
-        units.withColumn("_at", F.monotonically_increasing_id())
-        .join(begins, ["file", "block"], "left")
-        .repartition("file", "block")
-        .sortWithinPartitions("file", "block", "_at")
-        .drop("_at")
-    )
-    return joined.mapInArrow(_cut(form), PIECES)
+        known = units.join(F.broadcast(begins), ["file", "block"], "left")
+    else:
+        known = (
+            units.withColumn("_at", F.monotonically_increasing_id())
+            .join(begins, ["file", "block"], "left")
+            .repartition("file", "block")
+            .sortWithinPartitions("file", "block", "_at")
+            .drop("_at")
+        )
+    return known.mapInArrow(_cut(form), PIECES)
 
 
 def _joined(pieces: DataFrame, form: Format) -> DataFrame:
