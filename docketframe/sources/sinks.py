@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 from docketframe import schema
 from docketframe.functions.links import file_key
 from docketframe.operators.records import export_table, flattened, report_block, text_report
-from docketframe.session import dealt, ship_package, small, staged
+from docketframe.session import dealt, local_path, remove, ship_package, small, staged
 
 BYTE_ORDER_MARK = "﻿"
 # The writer would escape with a backslash and trim values by default.
@@ -102,9 +104,59 @@ def write_documents(df: DataFrame, path: str, key: str, text: str) -> None:
         shared = rows.join(few, "key", "left_semi").groupBy("key").agg(F.array_join(F.collect_list("text"), "\n").alias("text"))
         rows = rows.join(few, "key", "left_anti").unionByName(shared)
     whole = rows.select(F.concat(F.coalesce("key", F.lit("")), F.lit("\n"), "text").alias("value"))
+    parts = dealt(whole, DOCUMENTS_PER_TASK)
+    folder = local_path(df.sparkSession, path)
+    if folder:
+        _write_files(parts, folder)
+        return
     # Tasks move their files into place themselves; the second version of the algorithm lets them.
     moved = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
-    dealt(whole, DOCUMENTS_PER_TASK).write.mode("overwrite").options(maxRecordsPerFile="1", **moved).text(path)
+    parts.write.mode("overwrite").options(maxRecordsPerFile="1", **moved).text(path)
+
+
+def _write_files(values: DataFrame, folder: str) -> None:
+    """A text file for each value, as Spark's writer gives with one record a file, but made by plain file functions.
+
+    Hadoop's local file system starts a process for each file and for each checksum file, to set its mode.
+    Each attempt of a task writes under names of its own, aside; only files of attempts that ended well are moved in.
+    """
+    spark = values.sparkSession
+    ship_package(spark)
+    parent, name = os.path.split(folder)
+    aside = f"{parent}/.{name}.{uuid.uuid4().hex}"
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        attempt, n = uuid.uuid4().hex, 0
+        os.makedirs(f"{aside}/{attempt}")
+        for batch in batches:
+            for value in batch["value"].to_pylist():
+                with open(f"{aside}/{attempt}/{n}", "wb", buffering=0) as f:
+                    f.write(value + b"\n")
+                n += 1
+        yield pa.RecordBatch.from_pydict({"attempt": [attempt], "n": [n]})
+
+    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for attempt, n in zip(batch["attempt"].to_pylist(), batch["n"].to_pylist()):
+                for i in range(n):
+                    to = f"{folder}/part-{attempt}-{i}.txt"
+                    try:
+                        os.rename(f"{aside}/{attempt}/{i}", to)
+                    except FileNotFoundError:
+                        if not os.path.exists(to):  # else an attempt before this one moved it
+                            raise
+            yield batch
+
+    try:
+        # One row a task.
+        told = values.select(F.col("value").cast("binary")).mapInArrow(write, "attempt string, n long").where("n > 0").collect()
+        remove(spark, folder)
+        os.makedirs(folder)
+        if told:
+            spark.createDataFrame(told, "attempt string, n long").repartition(len(told)).mapInArrow(move, "attempt string, n long").collect()
+        open(f"{folder}/_SUCCESS", "w").close()
+    finally:
+        remove(spark, aside)
 
 
 def write_json_records(

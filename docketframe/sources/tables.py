@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import os
+import re
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docketframe import schema
+from docketframe.session import dealt, local_path, ship_package, staged
 
 CSV_OPTIONS = {
     "header": "true",
@@ -91,8 +95,72 @@ def read_json_records(
 
 def read_documents(spark: SparkSession, path: str, keyed: bool = False) -> DataFrame:
     """Whole text files, one document each; with ``keyed``, ``key`` is the first line of each (NULL if blank), and ``body`` what follows."""
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body"))
+    files = _plain_files(spark, path)
+    if files is None:
+        files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body"))
     if not keyed:
         return files
     first = F.substring_index("body", "\n", 1)
     return files.select("path", F.nullif(first, F.lit("")).alias("key"), F.substr("body", F.length(first) + 2).alias("body"))
+
+
+#: Files that one task reads whole.
+FILES_PER_TASK = 5_000
+#: Bytes of texts that are handed on at once.
+BATCH_BYTES = 4 << 20
+# Names that are alike in a path and in its URI, and which no reader takes for compressed.
+_PLAIN_NAME = re.compile(r"[A-Za-z0-9=-][A-Za-z0-9_.=-]*\.txt", re.ASCII)
+
+
+def _plain_files(spark: SparkSession, path: str) -> DataFrame | None:
+    """path, body: the text files of one local folder that holds no other; None for anything else.
+
+    As Spark's whole-text reader, which makes a Hadoop configuration for each file and lists all of them on
+    the driver; here a task lists the names, and they are dealt to tasks of ``FILES_PER_TASK``.
+    """
+    folder = local_path(spark, path) if isinstance(path, str) else None
+    if folder is None or not os.path.isdir(folder):
+        return None
+    prefix = spark._jvm.org.apache.hadoop.fs.Path(f"file:{folder}").toUri().toString()
+    ship_package(spark)
+
+    def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch(held: list[str], plain: bool) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"name": held, "plain": [plain] * len(held)}, pa.schema([("name", pa.string()), ("plain", pa.bool_())]))
+
+        for _ in batches:
+            held: list[str] = []
+            with os.scandir(folder) as found:
+                for entry in found:
+                    if entry.name[0] in "._":
+                        continue
+                    if not _PLAIN_NAME.fullmatch(entry.name) or not entry.is_file():
+                        yield batch([""], False)
+                        return
+                    held.append(entry.name)
+                    if len(held) == 50_000:
+                        yield batch(held, True)
+                        held = []
+            yield batch(held, True)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch(texts: dict[str, bytes]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([f"{prefix}/{n}" for n in texts], pa.string()), pa.array([*texts.values()], pa.binary())], ["path", "body"])
+
+        held, size = {}, 0
+        for part in batches:
+            for name in part["name"].to_pylist():
+                with open(f"{folder}/{name}", "rb", buffering=0) as f:
+                    text = f.read()
+                if text:  # Spark passes over empty files
+                    held[name] = text
+                    size += len(text)
+                if size >= BATCH_BYTES:
+                    yield batch(held)
+                    held, size = {}, 0
+        yield batch(held)
+
+    listed = staged(spark.range(1, numPartitions=1).mapInArrow(names, "name string, plain boolean"))
+    if not listed.where("NOT plain").isEmpty():
+        return None
+    return dealt(listed.select("name"), FILES_PER_TASK).mapInArrow(read, "path string, body binary").withColumn("body", F.col("body").cast("string"))

@@ -143,3 +143,39 @@ def test_a_summary_of_pages_reads_no_field_but_the_title(spark, monkeypatch):
     assert asked == [{"title": rules.LIST_FIELDS["title"]}]
     (page,) = rows.where("p = 1").select(H.listing(F.col("html"), fields=asked[0])["items"].alias("i")).collect()
     assert [(i.title, i.case_no, i.court, i.date) for i in page.i] == [("t1", "", "", ""), ("t2", "", "", "")]
+
+
+def test_files_of_documents_are_made_and_read_without_a_process_or_a_configuration_each(spark, tmp_path):
+    """Hadoop's local writer started a process for each file and each of its checksum file."""
+    docs = spark.range(0, 300, 1, 3).selectExpr("IF(id % 7 = 0, NULL, id) AS doc_id", "concat('text ', id, '\n正') AS text")
+    for _ in range(2):  # the second time over what the first wrote
+        sinks.write_documents(docs, str(tmp_path / "d"), "doc_id", "text")
+    files = sorted(p.name for p in tmp_path.rglob("*") if p.is_file())
+    assert len([f for f in files if f.startswith("part-")]) == 300 and not [f for f in files if f.endswith(".crc")]
+    assert [p.name for p in tmp_path.iterdir()] == ["d"]
+    assert sorted((tmp_path / "d").glob("part-*"))[0].read_bytes().endswith("\n正\n".encode())
+    found = tables.read_documents(spark, str(tmp_path / "d"), keyed=True)
+    assert "FileScan text" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.body for r in found.collect()) == sorted(f"text {i}\n正\n" for i in range(300))
+    assert found.where("key IS NULL").count() == 43
+    sinks.write_documents(docs.limit(0), str(tmp_path / "none"), "doc_id", "text")
+    assert tables.read_documents(spark, str(tmp_path / "none"), keyed=True).count() == 0
+
+
+@pytest.mark.parametrize("odd", [None, "b c.txt", "x.txt.gz", "sub", "d.csv"])
+def test_whole_files_are_those_that_spark_reads(spark, tmp_path, odd):
+    import gzip
+
+    tmp_path = tmp_path / "a 正%"
+    tmp_path.mkdir()
+    for name, text in {"a.txt": b"1\r\n2", "k=1.txt": "正".encode() + b"\xff", "empty.txt": b"", "_SUCCESS": b"", ".a.txt": b"x", "_b.txt": b"x"}.items():
+        (tmp_path / name).write_bytes(text)
+    if odd == "sub":
+        (tmp_path / odd).mkdir()
+    elif odd:
+        (tmp_path / odd).write_bytes(gzip.compress(b"z") if odd.endswith(".gz") else b"z")
+    of = lambda df: sorted(map(tuple, df.selectExpr("path", "hex(body)").collect()))
+    theirs = spark.read.text(str(tmp_path), wholetext=True).selectExpr("_metadata.file_path AS path", "value AS body")
+    ours = tables.read_documents(spark, f"file://{tmp_path}")
+    assert of(ours) == of(theirs) == of(tables.read_documents(spark, str(tmp_path))) and len(of(ours)) == 2 + (odd not in (None, "sub"))
+    assert ("FileScan text" in ours._jdf.queryExecution().executedPlan().toString()) == bool(odd)
