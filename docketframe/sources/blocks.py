@@ -9,13 +9,15 @@ cuts all blocks at once.  Only what a block's edges cut through, at most one
 record an edge, is put together again afterwards.
 
 Spark's text reader does the splitting, so any file system will do, and
-``spark.sql.files.maxPartitionBytes`` sets the size of a block.
+``spark.sql.files.maxPartitionBytes`` sets the size of a block.  Files may be plain, or
+``packed``: written in frames (:mod:`docketframe.sources.frames`).
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from contextlib import nullcontext
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,6 +30,7 @@ from pyspark.sql import types as T
 
 from docketframe import schema
 from docketframe.session import ship_package, staged
+from docketframe.sources import frames
 from docketframe.sources.tables import CSV_OPTIONS, part_columns
 
 #: Up to this many blocks (16 TB at 128 MB each) what is known of them goes to every task, some 40 bytes a block; beyond, units are shuffled to it.
@@ -94,13 +97,22 @@ def _measured_csv(lines: DataFrame, form: Format) -> DataFrame:
     )
 
 
-def _units(spark: SparkSession, path: str | list[str], form: Format) -> DataFrame:
-    read = spark.read.text(path, lineSep=form.separator)
+def _units(spark: SparkSession, path: str | list[str], form: Format, packed: bool = False) -> DataFrame:
+    """The units of plain files, or the frames of packed ones."""
+    read = spark.read.text(path, lineSep=frames.MARK if packed else form.separator)
+    value = F.col("value").cast("binary") if packed else F.col("value")
     return read.select(
-        F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value"
+        F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), value.alias("value")
     )
 
 
+def _of_units(run: Callable, form: Format, packed: bool) -> Callable:
+    """A function of batches of units for those that :func:`_units` gives."""
+    if not packed:
+        return run
+    return lambda batches: run(frames.unpacked(batches, form.separator))
+
+
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], pa.RecordBatch]]:
     """Parts of batches that lie in one block, with the block."""
     for batch in batches:
@@ -139,8 +151,8 @@ def _measured(form: Format):
     return run
 
 
-def _measured_units(units: DataFrame, form: Format) -> DataFrame:
-    return units.mapInArrow(_measured(form), MEASURED)
+def _measured_units(units: DataFrame, form: Format, packed: bool = False) -> DataFrame:
+    return units.mapInArrow(_of_units(_measured(form), form, packed), MEASURED)
 
 
 CSV = Format("\n", "", _measure_csv, lambda line: line.endswith("\r"), False, _measured_csv)
@@ -237,11 +249,11 @@ def _cut(form: Format):
     return run
 
 
-def _pieces(spark: SparkSession, path: str | list[str], form: Format) -> DataFrame:
+def _pieces(spark: SparkSession, path: str | list[str], form: Format, packed: bool = False) -> DataFrame:
     """All records (kind 0), and what the edges of blocks cut off of some."""
     ship_package(spark)
-    units = _units(spark, path, form)
-    begins = staged(_begins(form.measured(units, form)))
+    units = _units(spark, path, form, packed)
+    begins = staged(_begins(_measured_units(units, form, True) if packed else form.measured(units, form)))
     if begins.count() <= BROADCAST_BLOCKS:
         known = units.join(F.broadcast(begins), ["file", "block"], "left")
     else:
@@ -252,7 +264,7 @@ def _pieces(spark: SparkSession, path: str | list[str], form: Format) -> DataFra
             .sortWithinPartitions("file", "block", "_at")
             .drop("_at")
         )
-    return known.mapInArrow(_cut(form), PIECES)
+    return known.mapInArrow(_of_units(_cut(form), form, packed), PIECES)
 
 
 def _joined(pieces: DataFrame, form: Format) -> DataFrame:
@@ -272,40 +284,63 @@ def _joined(pieces: DataFrame, form: Format) -> DataFrame:
     )
 
 
-def read_records(spark: SparkSession, path: str | list[str], form: Format, parsed: Column, stage_path: str | None = None) -> DataFrame:
+def read_records(
+    spark: SparkSession, path: str | list[str], form: Format, parsed: Column, stage_path: str | None = None, packed: bool = False
+) -> DataFrame:
     """first, text, r: each record, parsed by ``parsed`` on its column ``text``; ``first`` marks the first of each file.
 
     What is parsed is stored once, in the pass that cuts; texts are kept of first records
     and of pieces only.  The folder is the caller's to remove.
     """
     whole = F.col("kind") == RECORD
-    stored = staged(
-        _pieces(spark, path, form).select(
-            "file", "block", "kind", "first",
-            F.when(~whole | F.col("first"), F.col("text")).alias("text"),
-            F.when(whole & ~F.col("first"), parsed).alias("r"),
-        ),
-        stage_path,
-    )
+    with frames.small_splits(spark) if packed else nullcontext():
+        stored = staged(
+            _pieces(spark, path, form, packed).select(
+                "file", "block", "kind", "first",
+                F.when(~whole | F.col("first"), F.col("text")).alias("text"),
+                F.when(whole & ~F.col("first"), parsed).alias("r"),
+            ),
+            stage_path,
+        )
     records = stored.where("kind = 0 AND NOT first").select("first", "text", "r")
     cut = _joined(stored.where("kind <> 0").drop("r"), form).unionByName(stored.where("kind = 0 AND first").select("first", "text"))
     return records.unionByName(cut.withColumn("r", parsed))
 
 
+def _first_record(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """The first record of one of the packed CSV files; none if all are empty."""
+    frame = _units(spark, path, CSV, True).where("block = 0").limit(1).collect()
+    units = frames.units_of(frames.text_of(frame[0]["value"]), CSV.separator) if frame else []
+    record, odd = [], 0
+    for unit in units:
+        record.append(unit.as_py())
+        odd ^= record[-1].count('"') & 1
+        if not odd and "".join(record).strip("\ufeff \t\r\n"):
+            return [CSV.separator.join(record).strip("\r\n")]
+        record = record if odd else []
+    return []
+
+
 def read_part_blocks(
-    spark: SparkSession, path: str | list[str], csv_schema: T.StructType = schema.CASE_CSV, stage_path: str | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    csv_schema: T.StructType = schema.CASE_CSV,
+    stage_path: str | None = None,
+    packed: bool = False,
 ) -> DataFrame:
     """As :func:`tables.read_part`, but each file is read by as many tasks as it has blocks.
 
     Quotes must be as CSV writers set them: around the whole value, doubled inside it.
     Lines end in ``\\n`` or ``\\r\\n``.  Files read together must have one header.  An empty file has no rows.
+    ``packed``: the files were written in frames.
     """
-    header = [h.removeprefix("\ufeff") for h in spark.read.options(**CSV_OPTIONS).csv(path).columns] or csv_schema.names
+    begun = spark.sparkContext.parallelize(_first_record(spark, path), 1) if packed else path
+    header = [h.removeprefix("\ufeff") for h in spark.read.options(**CSV_OPTIONS).csv(begun).columns] or csv_schema.names
     columns = schema.strings([f"_{i}" for i in range(len(header))])
     # A pattern makes a copy of every text.
     text = F.when(F.startswith("text", F.lit("\ufeff")), F.regexp_replace("text", "^\ufeff", "")).otherwise(F.col("text"))
     options = {k: v for k, v in CSV_OPTIONS.items() if k not in ("header", "encoding")}
-    rows = read_records(spark, path, CSV, F.from_csv(text, ", ".join(f"{c} string" for c in columns.names), options), stage_path)
+    rows = read_records(spark, path, CSV, F.from_csv(text, ", ".join(f"{c} string" for c in columns.names), options), stage_path, packed)
     names = F.array(*[F.coalesce(F.col(f"r.{c}"), F.lit("")) for c in columns.names])
     other = rows.where("first").select(names.alias("h")).where(F.col("h") != F.array(*[F.lit(h) for h in header]))
     if wrong := other.limit(1).collect():
@@ -326,14 +361,19 @@ def _from_bracket(text: Column) -> Column:
 
 
 def read_json_array(
-    spark: SparkSession, path: str, json_schema: T.StructType, corrupt: str | None = None, stage_path: str | None = None
+    spark: SparkSession,
+    path: str,
+    json_schema: T.StructType,
+    corrupt: str | None = None,
+    stage_path: str | None = None,
+    packed: bool = False,
 ) -> DataFrame | None:
     """Objects of JSON arrays, each file read by as many tasks as it has blocks; None if there is no such file.
 
     One element that cannot be read loses only itself: it is NULL in all
     columns, and ``corrupt`` names a further column for its text.  Numbers, strings and the like among
     the elements are passed over; a list among them spoils the object after it.
-    A file that holds one object is one record.
+    A file that holds one object is one record.  ``packed``: the files were written in frames.
     """
     if corrupt:
         json_schema = T.StructType([*json_schema.fields, T.StructField(corrupt, T.StringType())])
@@ -341,7 +381,7 @@ def read_json_array(
     options = {"mode": "PERMISSIVE"} | ({"columnNameOfCorruptRecord": corrupt} if corrupt else {})
     parsed = F.when(text != "}", F.from_json(text, json_schema, options))
     try:
-        rows = read_records(spark, path, JSON, parsed, stage_path)
+        rows = read_records(spark, path, JSON, parsed, stage_path, packed)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None

@@ -14,6 +14,7 @@ from docketframe import schema
 from docketframe.functions.links import file_key
 from docketframe.operators.records import export_table, flattened, report_block, text_report
 from docketframe.session import dealt, local_path, remove, ship_package, small, staged
+from docketframe.sources.frames import write_frames
 
 BYTE_ORDER_MARK = "﻿"
 # The writer would escape with a backslash and trim values by default.
@@ -29,6 +30,9 @@ CSV_WRITE_OPTIONS = {
 }
 
 
+#: As ``compression``: a file for each task, compressed, and read back by many tasks (:mod:`docketframe.sources.frames`).
+FRAMES = "frames"
+
 #: Rows of one file.  A compressed file, or one with line breaks in its values, is read back by one task.
 ROWS_PER_FILE = 50_000
 
@@ -51,9 +55,26 @@ def write_csv(
     if bom:
         first, *others = df.columns
         df = df.toDF(BYTE_ORDER_MARK + first, *others)
+    if compression == FRAMES:
+        _write_csv_frames(df, path, rows_per_file)
+        return
     df.write.mode(mode).options(**CSV_WRITE_OPTIONS, **file_options(compression, rows_per_file)).csv(path)
 
 
+def _write_csv_frames(df: DataFrame, path: str, rows_per_file: int) -> None:
+    if rows_per_file:
+        raise ValueError("in frames, each task writes one file: rows_per_file has to be 0")
+    spark = df.sparkSession
+    ship_package(spark)
+
+    def line(df: DataFrame) -> DataFrame:
+        return df.select(F.to_csv(F.struct(*df.columns), CSV_WRITE_OPTIONS).alias("value"))
+
+    names = [f"_{i}" for i in range(len(df.columns))]
+    header = line(spark.createDataFrame([tuple(df.columns)], schema.strings(names))).first()["value"]
+    write_frames(line(df.toDF(*names)), path, "\n", first=header)
+
+
 def write_cases(df: DataFrame, path: str, **options) -> None:
     """The merged 7-column table."""
     write_csv(export_table(df, schema.CASE_COLUMNS), path, **options)
@@ -166,8 +187,10 @@ def write_json_records(
     df.write.mode("overwrite").options(**file_options(compression, rows_per_file)).json(path)
 
 
-def write_json_array(df: DataFrame, path: str) -> None:
-    """Records as JSON arrays, one element a line and one array a file."""
+def write_json_array(df: DataFrame, path: str, compression: str | None = None) -> None:
+    """Records as JSON arrays, one element a line and one array a file; plain, or in ``FRAMES``."""
+    if compression not in (None, FRAMES):
+        raise ValueError(f"JSON arrays are plain or in frames, not {compression}")
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = "["
@@ -181,6 +204,9 @@ def write_json_array(df: DataFrame, path: str) -> None:
 
     as_text = df.select(F.to_json(F.struct(*df.columns)).alias("value")) if df.columns != ["value"] else df
     ship_package(df.sparkSession)
+    if compression == FRAMES:
+        write_frames(as_text, path, "}", ends=("[", ",", "]"))
+        return
     as_text.mapInArrow(lines, "value string").write.mode("overwrite").text(path)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docketframe import schema
-from docketframe.sources import blocks, sinks, tables
+from docketframe.sources import blocks, frames, sinks, tables
 
 PARTS = ['"', "\n", ",", "a", "正", "\\", "\r\n", '""', " ", "b" * 30]
 POINT = T.StructType().add("y", "long")
@@ -164,3 +164,92 @@ def test_text_of_a_json_element_begins_at_its_bracket(spark):
     by_pattern = F.regexp_replace("t", blocks._BEFORE_BRACKET, "")
     for r in rows.select(blocks._from_bracket(F.col("t")).alias("ours"), by_pattern.alias("theirs")).collect():
         assert r.ours == r.theirs
+
+
+def lines_of(spark, path):
+    """The lines of a text file; the last line end is none of its own."""
+    text = open(path, newline="", encoding="utf-8").read().removesuffix("\n")
+    return spark.createDataFrame([(line,) for line in text.split("\n")], "value string").coalesce(1)
+
+
+def text_in_frames(folder):
+    """The text of the one file in a folder, as any program for Zstandard reads it."""
+    import io
+
+    import zstandard
+
+    (file,) = folder.glob("part-*")
+    return zstandard.ZstdDecompressor().stream_reader(io.BytesIO(file.read_bytes()), read_across_frames=True).read()
+
+
+@pytest.fixture
+def few_frames(spark):
+    """Splits of 1,500 bytes of packed files."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 1_500 * frames.PACKED)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    yield
+    for key in ("maxPartitionBytes", "openCostInBytes"):
+        spark.conf.unset(f"spark.sql.files.{key}")
+
+
+def test_csv_files_in_frames(spark, few_frames, tmp_path):
+    """Frames of a few lines: most edges lie inside quotes."""
+    rows = [(i, frames.MARK if i % 5 == 0 else 'x,"y"', "c", "n", "d", "l", b) for i, b in enumerate(bodies(120, 6))]
+    write_csv(tmp_path / "p.csv", rows)
+    frames.write_frames(lines_of(spark, tmp_path / "p.csv"), str(tmp_path / "f"), "\n", frame_bytes=300)
+    assert text_in_frames(tmp_path / "f") == (tmp_path / "p.csv").read_bytes()
+    with frames.small_splits(spark):
+        units = blocks._units(spark, str(tmp_path / "f"), blocks.CSV, packed=True)
+        assert units.select("block").distinct().count() > 5
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    got = blocks.read_part_blocks(spark, str(tmp_path / "f"), packed=True)
+    assert sorted(got.collect()) == sorted(tables.read_part(spark, str(tmp_path / "p.csv")).collect())
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == split
+
+
+@pytest.mark.parametrize("indent", [None, 1])
+def test_json_arrays_in_frames(spark, few_frames, tmp_path, indent):
+    rng = random.Random(4)
+    texts = ["a", "}{", "[", '"q"', "\\", '{"k": [', "]}", "正\n文", frames.MARK]
+    rows = [{"title": "".join(rng.choices(texts, k=rng.randrange(9))), "k": i, "sub": {"x": [{"y": i}] * rng.randrange(3)}} for i in range(250)]
+    (tmp_path / "a.json").write_text(json.dumps(rows, indent=indent, ensure_ascii=False) + "\n")
+    frames.write_frames(lines_of(spark, tmp_path / "a.json"), str(tmp_path / "f"), "}", frame_bytes=200)
+    assert text_in_frames(tmp_path / "f") == (tmp_path / "a.json").read_bytes()
+    got = blocks.read_json_array(spark, str(tmp_path / "f"), JSON, packed=True).collect()
+    assert sorted((r.asDict(True) for r in got), key=lambda r: r["k"]) == rows
+    assert blocks.read_json_array(spark, str(tmp_path / "none"), JSON, packed=True) is None
+
+
+def test_sinks_write_the_same_text_in_frames(spark, tmp_path):
+    some = [(i, b, None if i % 3 else ' a "b"\\', " x ", "", "l,", b + "\r" * (i % 2)) for i, b in enumerate(bodies(40, 7))]
+    cases = spark.createDataFrame(some, schema.CASE).coalesce(1)
+    for name, df in (("all", cases), ("none", cases.limit(0).coalesce(1))):
+        for kind, write in {
+            "csv": lambda df, to, c: sinks.write_cases(df, to, bom=True, rows_per_file=0, compression=c),
+            "json": sinks.write_json_array,
+        }.items():
+            plain, packed = tmp_path / f"{name}_{kind}", tmp_path / f"{name}_{kind}_frames"
+            write(df, str(plain), None)
+            write(df, str(packed), sinks.FRAMES)
+            if name == "all":
+                (file,) = plain.glob("part-*")
+                assert text_in_frames(packed) == file.read_bytes()
+        n = 0 if name == "none" else len(some)
+        assert blocks.read_part_blocks(spark, str(tmp_path / f"{name}_csv_frames"), packed=True).count() == n
+        assert blocks.read_json_array(spark, str(tmp_path / f"{name}_json_frames"), schema.CASE, packed=True).count() == n
+    with pytest.raises(ValueError, match="rows_per_file"):
+        sinks.write_cases(cases, str(tmp_path / "no"), compression=sinks.FRAMES)
+
+
+def test_frames_hold_no_mark_and_are_read_whole(tmp_path):
+    text = "".join(f"{i}{frames.MARK}正" for i in range(50)).encode()
+    raw = frames._MARK  # too short to be compressed, so that a frame holds it as it is
+    for t in (text, raw, b"", b"a"):
+        packed = frames._packed(t)
+        assert frames._MARK not in packed and frames.text_of(packed + frames._SKIPPED) == t
+    with pytest.raises(ValueError, match="cut short"):
+        frames.text_of(frames._packed(text)[:-1] + frames._SKIPPED)
+    with pytest.raises(ValueError, match="not written in frames"):
+        frames.text_of(b"1,2,3")
+    for t in ("", "a", "}", "a}", "a}b", "}}正}", "\n]\n"):
+        assert frames.units_of(t.encode(), "}").to_pylist() == (t.removesuffix("}").split("}") if t else [])

@@ -179,3 +179,16 @@ def test_whole_files_are_those_that_spark_reads(spark, tmp_path, odd):
     ours = tables.read_documents(spark, f"file://{tmp_path}")
     assert of(ours) == of(theirs) == of(tables.read_documents(spark, str(tmp_path))) and len(of(ours)) == 2 + (odd not in (None, "sub"))
     assert ("FileScan text" in ours._jdf.queryExecution().executedPlan().toString()) == bool(odd)
+
+
+@pytest.mark.parametrize("query, name", [("json_array_records", "json_array")])
+def test_large_files_read_in_blocks_are_compressed(spark, orders_dir, monkeypatch, query, name):
+    """Plain files were some 2 KB a case."""
+    from docketframe.sources import blocks, frames
+
+    n, files = files_written(spark, name, query, orders_dir, monkeypatch)
+    (folder,) = {p.parent for p in Path(orders_dir).glob("written_*/part-*")}
+    assert n == 130_000 and len(files) == 1 and (folder / files[0]).stat().st_size < 200 * n
+    with frames.small_splits(spark):
+        units = blocks._units(spark, str(folder), blocks.CSV, packed=True)
+        assert units.select("block").distinct().count() > 1
